@@ -8,6 +8,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.sizing import fits_broadcast
 from ledgerloom.specs import JoinSpec
 
 #: A key with more rows than this is too much for one task.
@@ -73,13 +74,6 @@ def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> list[Any]:
     return [row.key for row in top.collect()]
 
 
-def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
-    """Whether Spark's own size estimate of ``df`` is within its broadcast limit."""
-    if limit is None:
-        limit = _bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold"))
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) <= limit
-
-
 def join_chain(
     frames: Mapping[str, DataFrame],
     joins: Sequence[JoinSpec],
@@ -126,14 +120,3 @@ def _join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, how:
 
 def _others(df: DataFrame, key: str) -> list[str]:
     return [c for c in df.columns if c != key]
-
-
-def _bytes(text: str) -> int:
-    """Spark size text such as ``10485760b``, ``10m`` or ``-1``."""
-    units = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
-    text = text.strip().lower()
-    if len(text) > 1 and text.endswith("b") and text[-2] in units:
-        text = text[:-1]
-    if text[-1] in units:
-        return int(text[:-1]) * units[text[-1]]
-    return int(text)

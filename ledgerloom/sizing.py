@@ -1,0 +1,30 @@
+"""Spark's size estimates, used to choose between plans."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+_UNITS = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Size of ``df`` as the optimizer estimates it: file sizes scaled by the
+    columns read, multiplied up by joins, so rather too high than too low."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
+    """Whether the estimate of ``df`` is within Spark's broadcast limit."""
+    if limit is None:
+        limit = parse_bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold"))
+    return estimated_bytes(df) <= limit
+
+
+def parse_bytes(text: str) -> int:
+    """Spark size text such as ``10485760b``, ``10m``, ``10MB`` or ``-1``."""
+    text = text.strip().lower()
+    if text[-1] == "b" and text[-2:-1] in _UNITS:
+        text = text[:-1]
+    if text[-1] in _UNITS:
+        return int(text[:-1]) * _UNITS[text[-1]]
+    return int(text)

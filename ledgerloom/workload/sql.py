@@ -12,7 +12,7 @@ _STATUS = "case o_orderstatus when 'F' then 'completed' when 'O' then 'shipped'
 
 ORDER_COLUMNS = (
     "order_id customer_id product_id order_date quantity unit_price discount_amount total_amount "
-    "status payment_method payment_status shipping_pincode order_source"
+    "status payment_method payment_status shipping_city shipping_state shipping_pincode order_source"
 ).split()
 
 CTES = {
@@ -48,6 +48,11 @@ CTES = {
                {_STATUS} as status,
                o_orderpriority as payment_method
         from orders""",
+    # Order headers with the flaws that the raw order file is given.
+    "dirty": """
+        select *, order_id % 50 = 0 as bad_date, order_id % 90 = 0 as bad_amount,
+               order_id % 90 <> 0 and order_id % 70 = 0 as no_amount
+        from hdr""",
     "cust": """
         select c_custkey as customer_id,
                c_name as customer_name,
@@ -129,15 +134,12 @@ CTES |= {
     "ord2": _two_sources("ord", "order_id", f"replace ('{FEED_STATUS}' as status)"),
     "cust2": _two_sources("cust", "customer_id", "replace ('gold' as loyalty_tier)"),
     "prod2": _two_sources("prod", "product_id", "replace ('feed' as brand)"),
+    "ord_one": _latest("ord", "order_id", "1", ORDER_COLUMNS),
     "all_ord": _latest(
         "ord2",
         "order_id",
         _NEWEST,
-        [
-            c
-            for name in ORDER_COLUMNS
-            for c in (["shipping_city", "shipping_state", name] if name == "shipping_pincode" else [name])
-        ],
+        ORDER_COLUMNS,
     ),
     "all_cust": _latest("cust2", "customer_id", _NEWEST, ["customer_id"] + ["customer_name"]),
     "all_prod": _latest("prod2", "product_id", _NEWEST, ["product_id"] + ["product_name"]),
@@ -152,6 +154,15 @@ CTES |= {
             join cust using (customer_id)
             join prod using (product_id)
             where status <> 'cancelled' and cust.is_active and prod.is_active)""",
+    # The same from orders of which one row per id was kept at loading.
+    "core_one": """
+        select *, cast(round(total_amount + gst_amount, 2) as decimal(18,2)) as grand_total
+        from (
+            select o.*, cast(round(total_amount * cast(0.18 as decimal(2,2)), 2) as decimal(18,2)) as gst_amount
+            from ord_one o
+            join cust using (customer_id)
+            join prod using (product_id)
+            where status <> 'cancelled' and cust.is_active and prod.is_active)""",
     # Enriched orders of the wide star schema.
     "wide": """
         select o.*,
