@@ -8,11 +8,13 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.sizing import fits_broadcast
+from ledgerloom.sizing import fits_broadcast, input_bytes
 from ledgerloom.specs import JoinSpec
 
 #: A key with more rows than this is too much for one task.
 HOT_ROWS = 5_000_000
+#: A left side of at most this size is no burden even if all of it meets in one task.
+SKEW_CHECK_BYTES = 256 << 20
 #: Most keys joined separately; any key beyond them holds under 1/500 of all rows.
 MAX_HOT_KEYS = 500
 
@@ -26,12 +28,14 @@ def join_lookup(
     *,
     hot_from: DataFrame | None = None,
     hot_rows: int = HOT_ROWS,
+    skew_check_bytes: int = SKEW_CHECK_BYTES,
     broadcast_bytes: int | None = None,
 ) -> DataFrame:
     """``left`` join ``right`` on one key, keeping the left key column.
 
     * If Spark estimates ``right`` below its broadcast limit, the join is left
       to Spark: no shuffle, so the distribution of keys does not matter.
+    * The same holds if ``left`` is small, since no task can get too much of it.
     * Otherwise the keys of ``left`` are counted. Without hot keys this is one
       shuffled join.
     * Left rows of hot keys (and of a hot NULL) never shuffle: they meet the
@@ -43,10 +47,11 @@ def join_lookup(
     (for example the base table, when ``left`` is already a long plan).
     """
     right_key = right_key or left_key
-    if fits_broadcast(right, broadcast_bytes):
+    hot_from = left if hot_from is None else hot_from
+    if fits_broadcast(right, broadcast_bytes) or input_bytes(hot_from) <= skew_check_bytes:
         return _join(left, right, left_key, right_key, how)
 
-    hot = hot_keys(left if hot_from is None else hot_from, left_key, hot_rows)
+    hot = hot_keys(hot_from, left_key, hot_rows)
     if not hot:
         return _join(left, right, left_key, right_key, how)
 

@@ -13,6 +13,13 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Size of everything ``df`` reads. Unlike the estimate of its result, this
+    does not multiply up over joins on a key."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+
+
 def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
     """Whether the estimate of ``df`` is within Spark's broadcast limit."""
     if limit is None:

@@ -70,28 +70,37 @@ def _read_changes(reader, spec: TableSpec, path: str) -> DataFrame:
 
 
 def _read(reader, spec: TableSpec, names, path: str) -> DataFrame:
-    nested = {column: _split_json_path(p) for column, p in spec.json_paths.items()}
-    flat = [n for n in names if n not in nested]
-    text_columns = dict.fromkeys([*flat, *(root for root, _ in nested.values())])
-    schema = T.StructType(
-        [T.StructField(n, T.StringType()) for n in (*text_columns, CORRUPT_COLUMN)]
-    )
     reader = (
         reader.options(**spec.read_options)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
-        .schema(schema)
     )
     if spec.source_format == "json":
-        raw = reader.json(path)
+        raw, texts = _read_json(reader, spec, names, path)
     else:
-        raw = reader.option("columnPruning", "false").csv(path)
-    lifted = {column: F.get_json_object(root, rest) for column, (root, rest) in nested.items()}
-    return raw.select(
-        *[lifted[n].alias(n) if n in lifted else F.col(n) for n in names],
-        CORRUPT_COLUMN,
-        F.col("_metadata.file_path").alias(SOURCE_FILE),
-    )
+        raw = reader.option("columnPruning", "false").schema(_schema(names, "string")).csv(path)
+        texts = [F.col(n) for n in names]
+    return raw.select(*texts, CORRUPT_COLUMN, F.col("_metadata.file_path").alias(SOURCE_FILE))
+
+
+def _read_json(reader, spec: TableSpec, names, path: str) -> tuple[DataFrame, list[Column]]:
+    """Fields are read as variants, so that any value is accepted, and then
+    taken as text. (Reading numbers directly as text would make the parser seek
+    back in the file for each of them.)"""
+    places = {
+        n: _split_json_path(spec.json_paths[n]) if n in spec.json_paths else (n, "$") for n in names
+    }
+    roots = dict.fromkeys(root for root, _ in places.values())
+    raw = reader.schema(_schema(roots, "variant")).json(path)
+    texts = [
+        F.try_variant_get(F.col(root), rest, "string").alias(n)
+        for n, (root, rest) in places.items()
+    ]
+    return raw, texts
+
+
+def _schema(names, field_type: str) -> str:
+    return ", ".join([*(f"`{n}` {field_type}" for n in names), f"{CORRUPT_COLUMN} string"])
 
 
 def _split_json_path(path: str) -> tuple[str, str]:

@@ -7,143 +7,140 @@ oracle. Keys are bigint throughout.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.joins import join_lookup
 from ledgerloom.specs import RAW_OP_COLUMN
 
 MONEY = "decimal(18,2)"
+STATUS = "case o_orderstatus when 'F' then 'completed' when 'O' then 'shipped' else 'cancelled' end"
+
+#: Declared so that opening a table does not start a job to look at its files.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def order_lines(spark: SparkSession, sf_dir: str, *, shipping: bool = False) -> DataFrame:
     """Orders at line grain; ``shipping`` adds city and state of the customer."""
     headers = table(spark, sf_dir, "orders")
     lines = table(spark, sf_dir, "lineitem")
-    joined = join_lookup(lines, headers, "l_orderkey", "o_orderkey", hot_from=lines)
+    joined = join_lookup(lines, headers, "l_orderkey", "o_orderkey")
     if shipping:
         home = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
         joined = join_lookup(joined, home, "o_custkey", "c_custkey", hot_from=headers)
         joined = joined.join(_places(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"))
-    total = F.col("l_extendedprice").cast(MONEY)
-    columns = {
-        "order_id": F.col("l_orderkey") * 8 + F.col("l_linenumber"),
-        "customer_id": F.col("o_custkey"),
-        "product_id": F.col("l_partkey"),
-        "order_date": F.col("o_orderdate").cast("date"),
-        "quantity": F.col("l_quantity").cast("int"),
-        "unit_price": F.expr(
-            "cast((cast(cast(l_extendedprice as decimal(18,2)) * 100 as bigint)"
-            " div cast(l_quantity as bigint)) / 100 as decimal(18,2))"
-        ),
-        "discount_amount": F.round(total * F.col("l_discount").cast("decimal(4,2)"), 2).cast(MONEY),
-        "total_amount": total,
-        "status": order_status(F.col("o_orderstatus")),
-        "payment_method": F.col("o_orderpriority"),
-        "payment_status": F.when(F.col("l_linestatus") == "F", "paid").otherwise("pending"),
-        **({"shipping_city": F.col("n_name"), "shipping_state": F.col("r_name")} if shipping else {}),
-        "shipping_pincode": F.lpad((F.col("o_custkey") % 1_000_000).cast("string"), 6, "0"),
-        "order_source": F.when(F.col("l_linenumber") % 3 == 0, "web")
-        .when(F.col("l_linenumber") % 3 == 1, "app")
-        .otherwise("store"),
-        "updated_at": F.col("l_shipdate").cast("timestamp"),
-    }
-    return joined.select(*[c.alias(n) for n, c in columns.items()])
+    return joined.selectExpr(
+        "l_orderkey * 8 + l_linenumber as order_id",
+        "o_custkey as customer_id",
+        "l_partkey as product_id",
+        "cast(o_orderdate as date) as order_date",
+        "cast(l_quantity as int) as quantity",
+        f"cast((cast(cast(l_extendedprice as {MONEY}) * 100 as bigint)"
+        f" div cast(l_quantity as bigint)) / 100 as {MONEY}) as unit_price",
+        f"cast(round(cast(l_extendedprice as {MONEY}) * cast(l_discount as decimal(4,2)), 2)"
+        f" as {MONEY}) as discount_amount",
+        f"cast(l_extendedprice as {MONEY}) as total_amount",
+        f"{STATUS} as status",
+        "o_orderpriority as payment_method",
+        "case l_linestatus when 'F' then 'paid' else 'pending' end as payment_status",
+        *(["n_name as shipping_city", "r_name as shipping_state"] if shipping else []),
+        "lpad(cast(o_custkey % 1000000 as string), 6, '0') as shipping_pincode",
+        "case l_linenumber % 3 when 0 then 'web' when 1 then 'app' else 'store' end as order_source",
+        "cast(l_shipdate as timestamp) as updated_at",
+    )
 
 
 def order_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order headers alone, for operators that need no product."""
-    return table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("order_id"),
-        F.col("o_custkey").alias("customer_id"),
-        F.col("o_orderdate").cast("date").alias("order_date"),
-        F.col("o_totalprice").cast(MONEY).alias("total_amount"),
-        order_status(F.col("o_orderstatus")).alias("status"),
-        F.col("o_orderpriority").alias("payment_method"),
+    return table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey as order_id",
+        "o_custkey as customer_id",
+        "cast(o_orderdate as date) as order_date",
+        f"cast(o_totalprice as {MONEY}) as total_amount",
+        f"{STATUS} as status",
+        "o_orderpriority as payment_method",
     )
 
 
-def order_status(code: Column) -> Column:
-    return F.when(code == "F", "completed").when(code == "O", "shipped").otherwise("cancelled")
-
-
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("c_custkey")
     joined = table(spark, sf_dir, "customer").join(
         _places(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey")
     )
-    columns = {
-        "customer_id": key,
-        "customer_name": F.col("c_name"),
-        "email": F.when(key % 10 != 0, F.concat(F.lower("c_name"), F.lit("@example.com"))),
-        "phone": F.lpad(key.cast("string"), 10, "9"),
-        "gender": F.when(key % 2 == 0, "F").otherwise("M"),
-        "date_of_birth": day_from_key(key, "1960-01-01", 15000),
-        "city": F.col("n_name"),
-        "state": F.col("r_name"),
-        "pincode": F.lpad((key % 1_000_000).cast("string"), 6, "0"),
-        "registered_date": day_from_key(key, "1990-01-01", 5000),
-        "registration_source": F.when(key % 3 == 0, "web").otherwise("app"),
-        "preferred_payment": F.when(key % 4 == 0, "card").otherwise("upi"),
-        "is_active": F.col("c_acctbal") >= 0,
-        "is_verified": key % 5 != 0,
-        "loyalty_tier": F.col("c_mktsegment"),
-    }
-    return joined.select(*[c.alias(n) for n, c in columns.items()])
+    return joined.selectExpr(
+        "c_custkey as customer_id",
+        "c_name as customer_name",
+        "case when c_custkey % 10 <> 0 then concat(lower(c_name), '@example.com') end as email",
+        "lpad(cast(c_custkey as string), 10, '9') as phone",
+        "case when c_custkey % 2 = 0 then 'F' else 'M' end as gender",
+        "date_add(date '1960-01-01', cast(c_custkey % 15000 as int)) as date_of_birth",
+        "n_name as city",
+        "r_name as state",
+        "lpad(cast(c_custkey % 1000000 as string), 6, '0') as pincode",
+        "date_add(date '1990-01-01', cast(c_custkey % 5000 as int)) as registered_date",
+        "case when c_custkey % 3 = 0 then 'web' else 'app' end as registration_source",
+        "case when c_custkey % 4 = 0 then 'card' else 'upi' end as preferred_payment",
+        "c_acctbal >= 0 as is_active",
+        "c_custkey % 5 <> 0 as is_verified",
+        "c_mktsegment as loyalty_tier",
+    )
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = F.col("p_partkey")
-    price = F.col("p_retailprice").cast(MONEY)
-    percent = (key % 4 * 5).cast("int")
-    columns = {
-        "product_id": key,
-        "product_name": F.col("p_name"),
-        "brand": F.col("p_brand"),
-        "category": F.col("p_type"),
-        "sub_category": F.concat_ws("/", "p_type", "p_brand"),
-        "mrp": price,
-        "selling_price": discounted(price, percent),
-        "discount_percentage": percent,
-        "stock_quantity": (key % 500).cast("int"),
-        "weight_kg": F.col("p_size").cast(MONEY),
-        "avg_rating": (key % 5 + 1).cast(MONEY),
-        "review_count": (key % 1000).cast("int"),
-        "is_active": F.col("p_size") > 5,
-        "launch_date": day_from_key(key, "1990-01-01", 5000),
-    }
-    return table(spark, sf_dir, "part").select(*[c.alias(n) for n, c in columns.items()])
+    return table(spark, sf_dir, "part").selectExpr(
+        "p_partkey as product_id",
+        "p_name as product_name",
+        "p_brand as brand",
+        "p_type as category",
+        "concat_ws('/', p_type, p_brand) as sub_category",
+        f"cast(p_retailprice as {MONEY}) as mrp",
+        f"{_discounted('p_retailprice')} as selling_price",
+        "cast(p_partkey % 4 * 5 as int) as discount_percentage",
+        "cast(p_partkey % 500 as int) as stock_quantity",
+        f"cast(p_size as {MONEY}) as weight_kg",
+        f"cast(p_partkey % 5 + 1 as {MONEY}) as avg_rating",
+        "cast(p_partkey % 1000 as int) as review_count",
+        "p_size > 5 as is_active",
+        "date_add(date '1990-01-01', cast(p_partkey % 5000 as int)) as launch_date",
+    )
 
 
 def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two daily price snapshots per product; the later one is 1 dearer."""
-    key = F.col("p_partkey")
-    percent = (key % 4 * 5).cast("int")
-    snapshot = F.explode(F.array(F.lit(0), F.lit(1))).alias("snapshot")
-    rows = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_retailprice", snapshot)
-    base = (F.col("p_retailprice").cast(MONEY) + F.col("snapshot")).cast(MONEY)
-    return rows.select(
-        key.alias("product_id"),
-        F.col("p_name").alias("product_name"),
-        F.col("p_type").alias("category"),
-        base.alias("base_price"),
-        percent.alias("discount_percentage"),
-        discounted(base, percent).alias("final_price"),
-        F.lit("INR").alias("currency"),
-        F.date_add(F.lit("2024-01-01").cast("date"), F.col("snapshot")).alias("price_date"),
+    snapshots = table(spark, sf_dir, "part").withColumn(
+        "snapshot", F.explode(F.array(F.lit(0), F.lit(1)))
+    )
+    return snapshots.selectExpr(
+        "p_partkey as product_id",
+        "p_name as product_name",
+        "p_type as category",
+        f"cast(cast(p_retailprice as {MONEY}) + snapshot as {MONEY}) as base_price",
+        "cast(p_partkey % 4 * 5 as int) as discount_percentage",
+        f"{_discounted('p_retailprice + snapshot')} as final_price",
+        "'INR' as currency",
+        "date_add(date '2024-01-01', snapshot) as price_date",
     )
 
 
-def discounted(price: Column, percent: Column) -> Column:
-    return F.round(price * (100 - percent).cast("decimal(5,2)") * F.lit(0.01).cast("decimal(3,2)"), 2).cast(MONEY)
-
-
-def day_from_key(key: Column, first_day: str, span: int) -> Column:
-    return F.date_add(F.lit(first_day).cast("date"), (key % span).cast("int"))
+def _discounted(price: str) -> str:
+    return (
+        f"cast(round(cast({price} as {MONEY}) * cast(100 - p_partkey % 4 * 5 as decimal(5,2))"
+        f" * cast(0.01 as decimal(3,2)), 2) as {MONEY})"
+    )
 
 
 def two_sources(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
@@ -151,26 +148,22 @@ def two_sources(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
 
     Keys divisible by 3 are in the feed, those divisible by 6 in both.
     """
-    plain = df.where((F.col(key) % 3 != 0) | (F.col(key) % 6 == 0))
-    feed = df.where(F.col(key) % 3 == 0)
-    stamp = F.timestamp_micros(F.col(key) % 1_000_000 * 1_000_000)
-    feed = feed.select(
-        *[c for c in df.columns if c != "updated_at"],
-        stamp.alias("created_at"),
-        (stamp + F.expr("interval 1 day")).alias("updated_at"),
+    plain = df.where(f"{key} % 3 <> 0 or {key} % 6 = 0").drop("updated_at")
+    stamp = f"timestamp_seconds({key} % 1000000)"
+    feed = df.where(f"{key} % 3 = 0").drop("updated_at").selectExpr(
+        "*", f"{stamp} as created_at", f"{stamp} + interval 1 day as updated_at"
     )
-    return plain.drop("updated_at"), feed
+    return plain, feed
 
 
 def changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A change feed of users, from the events."""
-    kind = F.col("event_type")
-    return table(spark, sf_dir, "events").select(
-        F.when(kind == "signup", "I").when(kind == "error", "D").otherwise("U").alias(RAW_OP_COLUMN),
+    return table(spark, sf_dir, "events").selectExpr(
+        f"case event_type when 'signup' then 'I' when 'error' then 'D' else 'U' end as {RAW_OP_COLUMN}",
         "user_id",
-        F.col("ts").cast("timestamp").alias("updated_at"),
+        "cast(ts as timestamp) as updated_at",
         "event_id",
-        kind,
+        "event_type",
         "value",
     )
 
