@@ -5,18 +5,22 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerloom.sizing import fits_broadcast, input_bytes
 from ledgerloom.specs import JoinSpec
 
 #: A key with more rows than this is too much for one task.
 HOT_ROWS = 5_000_000
-#: A left side of at most this size is no burden even if all of it meets in one task.
+#: A left side that reads at most this much is no burden even if all of it
+#: meets in one task.
 SKEW_CHECK_BYTES = 256 << 20
-#: Most keys joined separately; any key beyond them holds under 1/500 of all rows.
-MAX_HOT_KEYS = 500
+#: Most keys treated as hot; any key beyond them has under 1/10000 of all rows.
+MAX_HOT_KEYS = 10_000
+
+_KEY, _SALT, _SPLITS = "_hot_key", "_salt", "_splits"
 
 
 def join_lookup(
@@ -38,10 +42,9 @@ def join_lookup(
     * The same holds if ``left`` is small, since no task can get too much of it.
     * Otherwise the keys of ``left`` are counted. Without hot keys this is one
       shuffled join.
-    * Left rows of hot keys (and of a hot NULL) never shuffle: they meet the
-      few right rows of those keys through a broadcast, whose size is checked;
-      all other rows take the shuffled join. Both parts are returned, so the
-      result is that of the plain join.
+    * The rows of a hot key are spread over as many tasks as its count asks
+      for, by a salt, and its few right rows are copied to each of them. The
+      result is that of the plain join, and either side is read once.
 
     ``hot_from`` is a cheaper frame with the same key distribution to count
     (for example the base table, when ``left`` is already a long plan).
@@ -49,34 +52,47 @@ def join_lookup(
     right_key = right_key or left_key
     hot_from = left if hot_from is None else hot_from
     if fits_broadcast(right, broadcast_bytes) or input_bytes(hot_from) <= skew_check_bytes:
-        return _join(left, right, left_key, right_key, how)
+        return _join(left, right, [(left_key, right_key)], how)
 
     hot = hot_keys(hot_from, left_key, hot_rows)
     if not hot:
-        return _join(left, right, left_key, right_key, how)
-
-    values = [k for k in hot if k is not None]
-    hot_right = right.where(F.col(right_key).isin(values))
-    # One row per key is the normal case; a right side with very many rows for
-    # a hot key is not broadcast but left to the shuffled join.
-    limit = MAX_HOT_KEYS * 20
-    if hot_right.select(right_key).limit(limit + 1).count() > limit:
-        return _join(left, right, left_key, right_key, how)
-
-    is_hot = F.coalesce(F.col(left_key).isin(values), F.lit(None in hot))
-    split_off = _join(left.where(is_hot), F.broadcast(hot_right), left_key, right_key, how)
-    return _join(left.where(~is_hot), right, left_key, right_key, how).unionByName(split_off)
-
-
-def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> list[Any]:
-    """Values of ``key`` with more than ``hot_rows`` rows, at most ``MAX_HOT_KEYS``.
+        return _join(left, right, [(left_key, right_key)], how)
+    left_salted = _with_splits(left, left_key, hot).withColumn(
+        # Stable when a task is repeated, and different for identical rows.
+        _SALT, F.pmod(F.spark_partition_id(), F.col(_SPLITS))
+    )
+    right_salted = _with_splits(right, right_key, hot).withColumn(
+        _SALT, F.explode(F.sequence(F.lit(0), F.col(_SPLITS) - 1))
+    )
+    joined = _join(
+        left_salted.drop(_SPLITS),
+        right_salted.drop(_SPLITS),
+        [(left_key, right_key), (_SALT, _SALT)],
+        how,
+    )
+    return joined.drop(_SALT)
+
+
+def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> dict[Any, int]:
+    """Tasks needed by each value of ``key`` that has more than ``hot_rows`` rows.
 
     Counts are combined before the shuffle and only this short list reaches the
     driver.
     """
     counts = df.groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("n"))
     top = counts.where(F.col("n") > hot_rows).orderBy(F.desc("n")).limit(MAX_HOT_KEYS)
-    return [row.key for row in top.collect()]
+    return {row.key: -(-row.n // hot_rows) for row in top.collect()}
+
+
+def _with_splits(df: DataFrame, key: str, hot: Mapping[Any, int]) -> DataFrame:
+    """``df`` with the number of tasks for the key of each row, 1 for most."""
+    schema = T.StructType(
+        [T.StructField(_KEY, df.schema[key].dataType), T.StructField(_SPLITS, T.IntegerType())]
+    )
+    values = [(k, n) for k, n in hot.items() if k is not None]
+    small = F.broadcast(df.sparkSession.createDataFrame(values, schema))
+    splits = F.when(F.col(key).isNull(), hot.get(None, 1)).otherwise(F.coalesce(_SPLITS, F.lit(1)))
+    return df.join(small, F.col(key) == F.col(_KEY), "left").drop(_KEY).withColumn(_SPLITS, splits)
 
 
 def join_chain(
@@ -116,12 +132,10 @@ def join_chain(
     return result
 
 
-def _join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, how: str) -> DataFrame:
-    if left_key == right_key:
-        return left.join(right, left_key, how).select(*left.columns, *_others(right, right_key))
-    condition: Column = left[left_key] == right[right_key]
-    return left.join(right, condition, how).drop(right[right_key])
-
-
-def _others(df: DataFrame, key: str) -> list[str]:
-    return [c for c in df.columns if c != key]
+def _join(
+    left: DataFrame, right: DataFrame, keys: Sequence[tuple[str, str]], how: str
+) -> DataFrame:
+    """Equi-join that keeps the left key columns only."""
+    matched = {r: f"_right_{r}" for _, r in keys}
+    condition = [F.col(l) == F.col(matched[r]) for l, r in keys]
+    return left.join(right.withColumnsRenamed(matched), condition, how).drop(*matched.values())

@@ -30,16 +30,24 @@ from ledgerloom.operators.joins import join_chain
 from ledgerloom.sources.sinks import write_table
 from ledgerloom.specs import LOADED_AT, SILVER_LOADED_AT
 
-ACTIVE_FLAGS = ("customer_is_active", "product_is_active")
 PROCESSOR = "silver"
 
 
 def silver_core(
     orders: DataFrame, customers: DataFrame, products: DataFrame, **join_options
 ) -> DataFrame:
-    """Orders of active customers and products that are not cancelled, with tax."""
-    joined = enrich_inner(orders, customers, products, **join_options)
-    return add_tax(active_only(not_cancelled(joined), ACTIVE_FLAGS))
+    """Orders of active customers and products that are not cancelled, with tax.
+
+    All joins are inner, so each filter is applied to the table it concerns,
+    before any row is shuffled.
+    """
+    joined = enrich_inner(
+        not_cancelled(orders),
+        active_only(customers, ["is_active"]),
+        active_only(products, ["is_active"]),
+        **join_options,
+    )
+    return add_tax(joined)
 
 
 def run_silver(

@@ -6,10 +6,10 @@ from pyspark.sql import functions as F
 
 from ledgerloom import catalog
 from ledgerloom.operators.cdc import current_state, decode_ops, drop_deletes, op_distribution
+from ledgerloom.operators.enrich import active_only, not_cancelled
+from ledgerloom.operators.joins import join_lookup
 from ledgerloom.operators.quality import null_profile, observed, quality_verdict
 from ledgerloom.operators.schema import conform, drift_report
-from ledgerloom.plans.silver import ACTIVE_FLAGS
-from ledgerloom.operators.enrich import active_only, not_cancelled
 from ledgerloom.specs import CORRUPT_COLUMN, Gate, struct_from_columns
 from ledgerloom.workload import bindings as b
 from ledgerloom.workload.registry import query
@@ -158,10 +158,8 @@ def step_metrics(spark, sf):
     """Row counts of three steps, observed by one run of the last one."""
     read, at_read = observed(b.order_headers(spark, sf), "read")
     kept, at_kept = observed(not_cancelled(read), "not_cancelled")
-    people = b.customers(spark, sf).withColumnRenamed("is_active", ACTIVE_FLAGS[0])
-    active, at_active = observed(
-        active_only(kept.join(people, "customer_id"), ACTIVE_FLAGS), "active"
-    )
+    joined = join_lookup(kept, b.customers(spark, sf), "customer_id")
+    active, at_active = observed(active_only(joined, ["is_active"]), "active")
     active.write.format("noop").mode("overwrite").save()
     steps = [("read", at_read), ("not_cancelled", at_kept), ("active", at_active)]
     return spark.createDataFrame([(n, o.get["rows"]) for n, o in steps], "step string, rows bigint")

@@ -1,0 +1,34 @@
+import os
+
+import pytest
+from pyspark.sql import SparkSession
+
+
+@pytest.fixture(scope="session")
+def spark():
+    session = (
+        SparkSession.builder.master("local[4]")
+        .appName("ledgerloom-tests")
+        .config("spark.driver.memory", "4g")
+        .config("spark.ui.enabled", "false")
+        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.session.timeZone", "UTC")
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture(scope="session")
+def sf_dir():
+    path = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+    if not os.path.isdir(path):
+        pytest.skip("benchmark tables are not here")
+    return path
+
+
+@pytest.fixture
+def rows():
+    """Rows of a frame as sorted tuples."""
+    return lambda df: sorted((tuple(r) for r in df.collect()), key=repr)

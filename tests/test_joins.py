@@ -1,0 +1,116 @@
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerloom.operators.enrich import enrich_inner
+from ledgerloom.operators.joins import hot_keys, join_chain, join_lookup
+from ledgerloom.sizing import fits_broadcast, parse_bytes
+from ledgerloom.specs import JoinSpec
+
+#: Options under which even tiny frames take the path for large ones.
+LARGE = {"skew_check_bytes": 0, "broadcast_bytes": 0, "hot_rows": 10}
+
+
+@pytest.fixture
+def facts(spark):
+    """100 rows of key 1, many of them identical, 30 of NULL, a few others."""
+    rows = [(1, i % 3) for i in range(100)] + [(None, i) for i in range(30)]
+    rows += [(k, k) for k in range(2, 9)]
+    return spark.createDataFrame(rows, "k int, v int").repartition(5)
+
+
+@pytest.fixture
+def lookup(spark):
+    return spark.createDataFrame([(1, "one"), (2, "two"), (3, "three"), (20, "none")], "k int, name string")
+
+
+def test_hot_keys_counts_tasks(facts):
+    assert hot_keys(facts, "k", 10) == {1: 10, None: 3}
+    assert hot_keys(facts, "k", 1000) == {}
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_salted_join_equals_plain_join(facts, lookup, rows, how):
+    salted = join_lookup(facts, lookup, "k", how=how, **LARGE)
+    assert salted.columns == ["k", "v", "name"]
+    assert rows(salted) == rows(facts.join(lookup, "k", how))
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_salted_join_with_repeated_right_keys(facts, lookup, rows, how):
+    twice = lookup.unionByName(lookup.withColumn("name", F.upper("name")))
+    salted = join_lookup(facts, twice, "k", how=how, **LARGE)
+    assert rows(salted) == rows(facts.join(twice, "k", how))
+
+
+def test_different_key_names(facts, lookup, rows):
+    renamed = lookup.withColumnRenamed("k", "id")
+    for options in ({}, LARGE):
+        joined = join_lookup(facts, renamed, "k", "id", **options)
+        assert rows(joined) == rows(facts.join(lookup, "k"))
+
+
+def test_salt_spreads_a_hot_key(facts, lookup, spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = join_lookup(facts, lookup, "k", **LARGE)
+        tasks = joined.where("k = 1").select(F.spark_partition_id().alias("p")).distinct().count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert tasks > 1
+
+
+def test_no_hot_key_is_one_plain_join(facts, lookup, rows):
+    options = {**LARGE, "hot_rows": 1000}
+    assert rows(join_lookup(facts, lookup, "k", **options)) == rows(facts.join(lookup, "k"))
+
+
+def test_join_chain_renames_and_continues(spark, rows):
+    frames = {
+        "o": spark.createDataFrame([(1, 10, 100), (2, 11, 101), (3, None, 100)], "o int, c int, p int"),
+        "c": spark.createDataFrame([(10, True)], "c int, is_active boolean"),
+        "p": spark.createDataFrame([(100, False)], "id int, is_active boolean"),
+    }
+    joins = [
+        JoinSpec("c", "c", "c", "left", left="o", rename={"is_active": "c_active"}),
+        JoinSpec("p", "p", "id", "left", rename={"is_active": "p_active"}),
+    ]
+    joined = join_chain(frames, joins)
+    assert joined.columns == ["o", "c", "p", "c_active", "p_active"]
+    assert rows(joined) == [
+        (1, 10, 100, True, False),
+        (2, 11, 101, None, None),
+        (3, None, 100, None, False),
+    ]
+    salted = join_chain(frames, joins, **{**LARGE, "hot_rows": 1})
+    assert rows(salted) == rows(joined)
+
+
+def test_join_chain_refuses_clashing_names(spark):
+    frames = {
+        "o": spark.createDataFrame([(1, True)], "c int, is_active boolean"),
+        "c": spark.createDataFrame([(1, True)], "c int, is_active boolean"),
+    }
+    with pytest.raises(ValueError, match="is_active"):
+        join_chain(frames, [JoinSpec("c", "c", "c", left="o")])
+    with pytest.raises(ValueError, match="first join"):
+        join_chain(frames, [JoinSpec("c", "c", "c")])
+
+
+def test_enrich_inner_is_within_left_join(spark, rows):
+    orders = spark.createDataFrame(
+        [(1, 1, 1), (2, 9, 1), (3, 1, 9)], "order_id int, customer_id int, product_id int"
+    ).withColumn("bronze_source_file", F.lit("x"))
+    customers = spark.createDataFrame([(1, True)], "customer_id int, is_active boolean")
+    products = spark.createDataFrame([(1, False)], "product_id int, is_active boolean")
+    joined = enrich_inner(orders, customers, products)
+    assert rows(joined) == [(1, 1, 1, True, False)]
+    assert joined.columns[-2:] == ["customer_is_active", "product_is_active"]
+
+
+def test_sizes(spark):
+    assert [parse_bytes(t) for t in ("10485760b", "10m", "10MB", "-1", "1g")] == [
+        10485760, 10 << 20, 10 << 20, -1, 1 << 30,
+    ]
+    assert fits_broadcast(spark.range(10)) and not fits_broadcast(spark.range(10), 0)
