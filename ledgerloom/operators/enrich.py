@@ -69,10 +69,16 @@ def enrich_inner(
     orders: DataFrame,
     customers: DataFrame,
     products: DataFrame,
+    *,
+    hot_from: Mapping[str, DataFrame] | None = None,
     **join_options,
 ) -> DataFrame:
     """Orders with the columns of their customer and product; orders that lack
-    either are left out. Shared columns become customer_* and product_*."""
+    either are left out. Shared columns become customer_* and product_*.
+
+    Hot keys are looked for in the orders, or in the cheaper frames given per
+    key in ``hot_from``.
+    """
     return join_chain(
         {
             "orders": drop_lineage(orders),
@@ -96,6 +102,6 @@ def enrich_inner(
                 rename=prefixed("product", *SHARED_COLUMNS),
             ),
         ],
-        hot_from={"customer_id": orders, "product_id": orders},
+        hot_from=hot_from or {"customer_id": orders, "product_id": orders},
         **join_options,
     )

@@ -20,6 +20,9 @@ SKEW_CHECK_BYTES = 256 << 20
 #: Most keys treated as hot; any key beyond them has under 1/10000 of all rows.
 MAX_HOT_KEYS = 10_000
 
+#: Optional weight column of the frames in which hot keys are looked for.
+ROWS = "_rows"
+
 _KEY, _SALT, _SPLITS = "_hot_key", "_salt", "_splits"
 
 
@@ -76,10 +79,12 @@ def join_lookup(
 def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> dict[Any, int]:
     """Tasks needed by each value of ``key`` that has more than ``hot_rows`` rows.
 
-    Counts are combined before the shuffle and only this short list reaches the
-    driver.
+    A frame that is counted already says in ``ROWS`` how many rows each of its
+    rows stands for. Counts are combined before the shuffle and only this short
+    list reaches the driver.
     """
-    counts = df.groupBy(F.col(key).alias("key")).agg(F.count(F.lit(1)).alias("n"))
+    n = F.sum(ROWS) if ROWS in df.columns else F.count(F.lit(1))
+    counts = df.groupBy(F.col(key).alias("key")).agg(n.alias("n"))
     top = counts.where(F.col("n") > hot_rows).orderBy(F.desc("n")).limit(MAX_HOT_KEYS)
     return {row.key: -(-row.n // hot_rows) for row in top.collect()}
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.catalog import DERIVED_COLUMNS, DROPPED_COLUMNS, ENRICH_JOINS, UNIONS
-from ledgerloom.operators.dedup import latest_per_key, union_latest
+from ledgerloom.operators.dedup import latest_per_key, union_latest, union_sources
 from ledgerloom.operators.enrich import (
     active_only,
     add_customer_age,
@@ -88,7 +88,11 @@ def run_silver(
 
 
 def enrich_left(
-    sources: Mapping[str, DataFrame], *, as_of: str | None = None, **join_options
+    sources: Mapping[str, DataFrame],
+    *,
+    as_of: str | None = None,
+    hot_from: Mapping[str, DataFrame] | None = None,
+    **join_options,
 ) -> DataFrame:
     """Orders of all sources with customer, product and latest price, and the
     derived columns.
@@ -97,6 +101,9 @@ def enrich_left(
     version of each order while ``updated_at`` is still there, and every table
     joined to it is one row per key. Deduplicating again after the joins would
     shuffle the widest rows for nothing.
+
+    Hot keys are looked for in the order sources, or in the cheaper frames given
+    per key in ``hot_from``.
     """
     merged = {
         name: union_latest(
@@ -109,15 +116,10 @@ def enrich_left(
     merged["api_pricing"] = latest_per_key(
         drop_lineage(sources["api_pricing"]), ["product_id"], "price_date"
     )
-    order_sources = [sources[t] for t in UNIONS["all_orders"].tables if t in sources]
-    joined = join_chain(
-        merged,
-        ENRICH_JOINS,
-        hot_from={
-            key: _column_of_all(order_sources, key) for key in ("customer_id", "product_id")
-        },
-        **join_options,
-    )
+    if hot_from is None:
+        orders = union_sources([sources[t] for t in UNIONS["all_orders"].tables if t in sources])
+        hot_from = {"customer_id": orders, "product_id": orders}
+    joined = join_chain(merged, ENRICH_JOINS, hot_from=hot_from, **join_options)
     derived = add_customer_age(derive(joined, DERIVED_COLUMNS), as_of)
     return derived.drop(*DROPPED_COLUMNS)
 
@@ -159,10 +161,3 @@ def _timed(df: DataFrame) -> DataFrame:
     if "updated_at" not in df.columns:
         return df.withColumn("updated_at", F.lit(None).cast("timestamp"))
     return df.withColumn("updated_at", F.col("updated_at").try_cast("timestamp"))
-
-
-def _column_of_all(frames: list[DataFrame], column: str) -> DataFrame:
-    first, *rest = [df.select(column) for df in frames]
-    for df in rest:
-        first = first.unionByName(df)
-    return first

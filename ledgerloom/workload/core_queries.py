@@ -34,7 +34,12 @@ from ledgerloom.workload.sql import AS_OF, day, mean, total, with_ctes
 
 def core(spark: SparkSession, sf: str) -> DataFrame:
     """Enriched orders of the small star schema."""
-    return silver_core(b.order_lines(spark, sf), b.customers(spark, sf), b.products(spark, sf))
+    return silver_core(
+        b.order_lines(spark, sf),
+        b.customers(spark, sf),
+        b.products(spark, sf),
+        hot_from=b.order_keys(spark, sf),
+    )
 
 
 @query(
@@ -82,7 +87,12 @@ def join_orders_customers(spark, sf):
     from ord join cust using (customer_id) join prod using (product_id)"""),
 )
 def enrich_inner_query(spark, sf):
-    joined = enrich_inner(b.order_lines(spark, sf), b.customers(spark, sf), b.products(spark, sf))
+    joined = enrich_inner(
+        b.order_lines(spark, sf),
+        b.customers(spark, sf),
+        b.products(spark, sf),
+        hot_from=b.order_keys(spark, sf),
+    )
     return joined.select(
         "order_id",
         "customer_id",
@@ -114,7 +124,7 @@ def join_chain_query(spark, sf):
         JoinSpec("customers", "customer_id", "customer_id", "inner", left="orders"),
         JoinSpec("active_products", "product_id", "product_id", "left"),
     ]
-    return join_chain(frames, joins).select(
+    return join_chain(frames, joins, hot_from=b.order_keys(spark, sf)).select(
         "order_id", "customer_name", "product_name", "category"
     )
 

@@ -6,6 +6,8 @@ from __future__ import annotations
 from dataclasses import replace
 from datetime import datetime
 
+import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -71,21 +73,26 @@ def raw_orders(spark: SparkSession, sf: str) -> str:
     return path
 
 
-def raw_arrays(rows: DataFrame, key: str, rows_per_file: int = 5000) -> str:
+def raw_arrays(rows: DataFrame) -> str:
     """A table as files that hold one JSON array each.
 
-    A file is a range of keys, so it has at most ``rows_per_file`` rows.
+    Every task turns its Arrow batches, which have a bounded number of rows,
+    into one array per batch and file; nothing is shuffled or grouped.
     """
     path = scratch_path(rows.sparkSession, "raw-arrays")
-    part = F.floor(F.col(key) / rows_per_file).alias("part")
-    record = F.to_json(F.struct(*rows.columns), {"ignoreNullFields": "false"})
-    arrays = rows.groupBy(part).agg(
-        F.concat(F.lit("["), F.array_join(F.collect_list(record), ",\n"), F.lit("]")).alias("value")
-    )
+    records = rows.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias("record"))
+    arrays = records.mapInPandas(_json_arrays, "part string, value string")
     arrays.write.partitionBy("part").text(path)
     return path
 
 
+def _json_arrays(batches):
+    task = TaskContext.get().partitionId()
+    for number, batch in enumerate(batches):
+        array = "[" + ",\n".join(batch["record"]) + "]"
+        yield pd.DataFrame({"part": [f"{task}-{number}"], "value": [array]})
+
+
 _DIRTY_COLUMNS = ("order_id", "customer_id", "order_date", "total_amount", "status")
 
 
@@ -163,7 +170,7 @@ def quarantine_roundtrip(spark, sf):
 def scan_json_multiline(spark, sf):
     """Customers with a field that is not in the schema, from JSON arrays."""
     people = b.customers(spark, sf).withColumn("fetched_at", F.lit("2024-01-01T00:00:00"))
-    path = raw_arrays(people, "customer_id")
+    path = raw_arrays(people)
     spec = spec_of("customers", read_options={"multiLine": "true", "recursiveFileLookup": "true"})
     rows = scan(spark, spec, path)
     return rows.select(
@@ -195,7 +202,7 @@ def scan_json_nested(spark, sf):
         read_options={"multiLine": "true", "recursiveFileLookup": "true"},
         json_paths=catalog.NESTED_CUSTOMER_PATHS,
     )
-    rows = scan(spark, spec, raw_arrays(people, "customer_id"))
+    rows = scan(spark, spec, raw_arrays(people))
     return rows.select("customer_id", "customer_name", "phone", "city", "state", "pincode")
 
 
@@ -492,7 +499,7 @@ def raw_tables(spark: SparkSession, sf: str) -> dict[str, str]:
     paths = {"orders": scratch_path(spark, "orders"), "products": scratch_path(spark, "products")}
     lines.write.option("header", "true").csv(paths["orders"])
     b.products(spark, sf).write.parquet(paths["products"])
-    paths["customers"] = raw_arrays(b.customers(spark, sf), "customer_id")
+    paths["customers"] = raw_arrays(b.customers(spark, sf))
     return paths
 
 

@@ -33,7 +33,8 @@ def sources(spark: SparkSession, sf: str, *, shipping: bool = False) -> dict[str
 
 def wide(spark: SparkSession, sf: str, *, shipping: bool = False) -> DataFrame:
     """Enriched orders of the wide star schema."""
-    return enrich_left(sources(spark, sf, shipping=shipping), as_of=AS_OF)
+    frames = sources(spark, sf, shipping=shipping)
+    return enrich_left(frames, as_of=AS_OF, hot_from=b.order_keys(spark, sf))
 
 
 @query(
@@ -113,7 +114,8 @@ def enrich_left_query(spark, sf):
         "all_products": b.products(spark, sf).where("is_active"),
         "api_pricing": latest_prices.where("product_id % 7 <> 0"),
     }
-    return join_chain(frames, catalog.ENRICH_JOINS).select(
+    joined = join_chain(frames, catalog.ENRICH_JOINS, hot_from=b.order_keys(spark, sf))
+    return joined.select(
         "order_id",
         "customer_id",
         "customer_name",
@@ -281,4 +283,5 @@ def mart_generic(spark, sf):
 
 def _mart(spark: SparkSession, sf: str, name: str, *, shipping: bool = False) -> DataFrame:
     spec = catalog.MARTS[name]
-    return build_mart(wide(spark, sf, shipping=shipping), spec.grain, spec.metrics)
+    rows = wide(spark, sf, shipping=shipping)
+    return build_mart(rows, spec.grain, spec.metrics, unique_key="order_id")

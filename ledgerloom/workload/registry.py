@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,17 +30,17 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 def portable(df: DataFrame) -> DataFrame:
     """Columns in the types that compare alike across engines: bigint, double,
     boolean and text."""
-    return df.select(*[_portable(f).alias(f.name) for f in df.schema.fields])
+    return df.selectExpr(*[f"{_portable(f)} as `{f.name}`" for f in df.schema.fields])
 
 
-def _portable(field: T.StructField):
-    column = F.col(f"`{field.name}`")
+def _portable(field: T.StructField) -> str:
+    column = f"`{field.name}`"
     if isinstance(field.dataType, (T.IntegerType, T.ShortType)):
-        return column.cast("bigint")
+        return f"cast({column} as bigint)"
     if isinstance(field.dataType, T.DecimalType):
-        return column.cast("double")
+        return f"cast({column} as double)"
     if isinstance(field.dataType, T.DateType):
-        return column.cast("string")
+        return f"cast({column} as string)"
     if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
-        return F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+        return f"date_format({column}, 'yyyy-MM-dd HH:mm:ss.SSSSSS')"
     return column

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.enrich import enrich_inner
-from ledgerloom.operators.joins import hot_keys, join_chain, join_lookup
+from ledgerloom.operators.joins import ROWS, hot_keys, join_chain, join_lookup
 from ledgerloom.sizing import fits_broadcast, parse_bytes
 from ledgerloom.specs import JoinSpec
 
@@ -26,6 +26,8 @@ def lookup(spark):
 def test_hot_keys_counts_tasks(facts):
     assert hot_keys(facts, "k", 10) == {1: 10, None: 3}
     assert hot_keys(facts, "k", 1000) == {}
+    counted = facts.groupBy("k").agg(F.count(F.lit(1)).alias(ROWS))
+    assert hot_keys(counted, "k", 10) == {1: 10, None: 3}
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])

@@ -146,3 +146,11 @@ def test_pre_aggregated_city_and_product(silver, rows):
 def test_generic_mart(silver, rows):
     mart = build_mart(silver, ["city"], {"n": "count(distinct order_id)", "top": "max(product_id)"})
     assert rows(mart) == [("X", 3, 11), ("Y", 1, 11)]
+
+
+def test_distinct_count_of_a_unique_key(silver, rows):
+    metrics = {"n": "count(distinct order_id)", "c": "COUNT(DISTINCT customer_id)"}
+    fast = build_mart(silver, ["city"], metrics, unique_key="order_id")
+    assert rows(fast) == rows(build_mart(silver, ["city"], metrics))
+    only = build_mart(silver, ["city"], {"n": metrics["n"]}, unique_key="order_id")
+    assert "distinct" not in only._jdf.queryExecution().executedPlan().toString()
