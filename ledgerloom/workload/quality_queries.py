@@ -6,9 +6,8 @@ from pyspark.sql import functions as F
 
 from ledgerloom import catalog
 from ledgerloom.operators.cdc import current_state, decode_ops, drop_deletes, op_distribution
-from ledgerloom.operators.enrich import active_only, not_cancelled
 from ledgerloom.operators.joins import join_lookup
-from ledgerloom.operators.quality import null_profile, observed, quality_verdict
+from ledgerloom.operators.quality import null_profile, quality_verdict, step_counts
 from ledgerloom.operators.schema import conform, drift_report
 from ledgerloom.specs import CORRUPT_COLUMN, Gate, struct_from_columns
 from ledgerloom.workload import bindings as b
@@ -155,14 +154,16 @@ def quality_quarantine_pct(spark, sf):
               where status <> 'cancelled' and is_active"""),
 )
 def step_metrics(spark, sf):
-    """Row counts of three steps, observed by one run of the last one."""
-    read, at_read = observed(b.order_headers(spark, sf), "read")
-    kept, at_kept = observed(not_cancelled(read), "not_cancelled")
-    joined = join_lookup(kept, b.customers(spark, sf), "customer_id")
-    active, at_active = observed(active_only(joined, ["is_active"]), "active")
-    active.write.format("noop").mode("overwrite").save()
-    steps = [("read", at_read), ("not_cancelled", at_kept), ("active", at_active)]
-    return spark.createDataFrame([(n, o.get["rows"]) for n, o in steps], "step string, rows bigint")
+    """Orders left after each step of the business rules, in one pass."""
+    joined = join_lookup(
+        b.order_headers(spark, sf), b.customers(spark, sf), "customer_id", how="left"
+    )
+    steps = {
+        "read": None,
+        "not_cancelled": F.col("status") != "cancelled",
+        "active": F.col("is_active"),
+    }
+    return step_counts(joined, steps)
 
 
 @query("cdc_op_distribution", with_ctes('select op as "_op", count(*) as changes from chg group by op'))
