@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 CORRUPT_COLUMN = "_corrupt_record"
 RAW_OP_COLUMN = "_op"
-OP_COLUMN = "operation"
+OP_COLUMN = "dms_operation"
 LOADED_AT = "bronze_loaded_at"
 SOURCE_FILE = "bronze_source_file"
 SILVER_LOADED_AT = "silver_loaded_at"

@@ -9,7 +9,7 @@ from ledgerloom.operators.cdc import current_state, decode_ops, drop_deletes, op
 from ledgerloom.operators.joins import join_lookup
 from ledgerloom.operators.quality import null_profile, quality_verdict, step_counts
 from ledgerloom.operators.schema import conform, drift_report
-from ledgerloom.specs import CORRUPT_COLUMN, Gate, struct_from_columns
+from ledgerloom.specs import CORRUPT_COLUMN, OP_COLUMN, Gate, struct_from_columns
 from ledgerloom.workload import bindings as b
 from ledgerloom.workload.registry import query
 from ledgerloom.workload.sql import with_ctes
@@ -183,11 +183,11 @@ def cdc_drop_deletes(spark, sf):
     "cdc_decode_ops",
     with_ctes("""
     select event_id, user_id,
-           case op when 'I' then 'insert' when 'U' then 'update' else 'unknown' end as operation
+           case op when 'I' then 'insert' when 'U' then 'update' else 'unknown' end as dms_operation
     from chg"""),
 )
 def cdc_decode_ops(spark, sf):
-    return decode_ops(b.changes(spark, sf)).select("event_id", "user_id", "operation")
+    return decode_ops(b.changes(spark, sf)).select("event_id", "user_id", OP_COLUMN)
 
 
 _STATE_SQL = """

@@ -87,7 +87,7 @@ def test_operations(feed, rows):
         [("I", 3), ("U", 1), ("D", 2), (None, 1), ("X", 1)], key=repr
     )
     assert drop_deletes(feed).count() == 5
-    words = {r.k: r.operation for r in decode_ops(feed).where("k > 3").collect()}
+    words = {r.k: r.dms_operation for r in decode_ops(feed).where("k > 3").collect()}
     assert words == {4: "unknown", 5: "unknown"} and "_op" not in decode_ops(feed).columns
 
 
