@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import exact, simhash
+from ledgerloom.llm import common, exact, packing, simhash, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -42,3 +44,18 @@ SELECT doc_id,
 FROM documents
 WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
+
+
+@_query
+def op8_orc_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token files of all documents, read back."""
+    path = f"{common.shared_dir(spark)}/token-files-{uuid.uuid4().hex}"
+    docs = _table(spark, sf_dir, "documents")
+    token_files.write(docs, path, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_files.layout(spark, path)
+
+
+@_query
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
