@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import common, exact, packing, simhash, token_files
+from ledgerloom.llm import common, exact, language, mixing, packing, simhash, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -59,3 +59,16 @@ def op8_orc_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
+@_query
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Learned from the labelled rows that are not held out, applied to every row."""
+    docs = _table(spark, sf_dir, "documents")
+    return language.predict(docs, language.learn(docs.filter(~language.held_out())))
+
+
+@_query
+def op7_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weights of 95 % of the highest entropy, no source more than four times, as many tokens as there are."""
+    return mixing.mix(_table(spark, sf_dir, "documents")).drop("text_hash")
