@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import common, exact, simhash
+from ledgerloom.llm import common, exact, language, mixing, packing, simhash
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a language (null, or no letter) go; learned from the labelled rows not held out."""
+    return language.accepted(docs, language.learn(docs.filter(~language.held_out())))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,9 +23,22 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return simhash.drop_near_duplicates(docs)
 
 
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sources at tempered weights: documents of heavy sources are taken in part, those of light ones repeated."""
+    return mixing.mixed(docs)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces and their places in sequences of 2048 tokens; a repeated document is packed as often as it comes."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 STAGES = [
+    ("language_id", language_id),
     ("exact_dedup", exact_dedup),
     ("simhash_near_dedup", simhash_near_dedup),
+    ("source_mixing", source_mixing),
+    ("best_fit_packing", best_fit_packing),
 ]
 
 #: Language prediction, SimHash groups, the mixing exponent and packing have no SQL form.
