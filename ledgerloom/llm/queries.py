@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import common, exact, language, mixing, packing, simhash, token_files
+from ledgerloom.llm import common, exact, language, mixing, packing, simhash, token_files, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -72,3 +72,9 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weights of 95 % of the highest entropy, no source more than four times, as many tokens as there are."""
     return mixing.mix(_table(spark, sf_dir, "documents")).drop("text_hash")
+
+
+@_query
+def op9_spherical_cap_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors, links at a cosine of 0.93 or more between equal labels."""
+    return vectors.near_duplicates(_table(spark, sf_dir, "embeddings"), least=0.93)
