@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import common, exact, language, mixing, packing, simhash, token_files, vectors
+from ledgerloom.llm import common, exact, language, mixing, packing, pii, simhash, token_files, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -23,6 +23,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Stands for the secret that a user passes.
+PSEUDONYM_KEY = "registered-query-key"
+
+
+@_query
+def op1_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymize(_table(spark, sf_dir, "documents"), PSEUDONYM_KEY)
+
+
 @_query
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four-word shingles, 64 bits, links at 4 or fewer differing bits, exactly."""
