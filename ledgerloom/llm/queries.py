@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import common, exact, language, mixing, packing, pii, simhash, token_files, vectors
+from ledgerloom.llm import common, exact, html_text, language, mixing, packing, pii, simhash, token_files, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -39,6 +39,11 @@ def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(docs, words=4, lanes=1, radius=4, tables=None)
 
 
+@_query
+def op3_consensus_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_texts(_table(spark, sf_dir, "pages"))
+
+
 @_query
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(_table(spark, sf_dir, "documents"), keep="largest")
