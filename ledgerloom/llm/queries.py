@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import common, exact, html_text, language, mixing, packing, pii, simhash, token_files, vectors
+from ledgerloom.llm import common, exact, html_text, language, mixing, packing, pii, simhash, substrings, token_files, vectors
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -44,6 +44,11 @@ def op3_consensus_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.main_texts(_table(spark, sf_dir, "pages"))
 
 
+@_query
+def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.repeated_strings(_table(spark, sf_dir, "documents")).drop("spans")
+
+
 @_query
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_duplicates(_table(spark, sf_dir, "documents"), keep="largest")
