@@ -192,7 +192,7 @@ NESTED_CUSTOMER_PATHS = {
 
 # Entities that arrive from two sources.
 UNIONS = {
-    "all_orders": UnionSpec(("orders", "dms_orders"), "order_id", "updated_at"),
+    "all_orders": UnionSpec(("orders", "dms_orders"), "order_id", "updated_at", ("total_amount",)),
     "all_customers": UnionSpec(("customers", "dms_customers"), "customer_id", "updated_at"),
     "all_products": UnionSpec(("products", "dms_products"), "product_id", "updated_at"),
 }

@@ -46,15 +46,21 @@ def union_sources(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def union_latest(frames: Sequence[DataFrame], key: str, order_by: str) -> DataFrame:
+def union_latest(
+    frames: Sequence[DataFrame],
+    key: str,
+    order_by: str,
+    tie_break: Sequence[str | Column] | None = None,
+) -> DataFrame:
     """Latest row per key over several sources.
 
     On equal times the source listed later wins, and rows without a time lose
-    to rows with one.
+    to rows with one. Sources with one row per key need no further
+    ``tie_break``; an empty one spares reading all columns to compare them.
     """
     ranked = [df.withColumn(_SOURCE_RANK, F.lit(i)) for i, df in enumerate(frames)]
     merged = union_sources(ranked)
-    ties = [F.col(_SOURCE_RANK).desc(), *_ties(merged.drop(_SOURCE_RANK), [key], None)]
+    ties = [F.col(_SOURCE_RANK).desc(), *_ties(merged.drop(_SOURCE_RANK), [key], tie_break)]
     return latest_per_key(merged, [key], order_by, ties).drop(_SOURCE_RANK)
 
 

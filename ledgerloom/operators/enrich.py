@@ -65,19 +65,9 @@ def prefixed(prefix: str, *columns: str) -> dict[str, str]:
 SHARED_COLUMNS = ("is_active", "created_at", "updated_at")
 
 
-def enrich_inner(
-    orders: DataFrame,
-    customers: DataFrame,
-    products: DataFrame,
-    *,
-    hot_from: Mapping[str, DataFrame] | None = None,
-    **join_options,
-) -> DataFrame:
+def enrich_inner(orders: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
     """Orders with the columns of their customer and product; orders that lack
     either are left out. Shared columns become customer_* and product_*.
-
-    Hot keys are looked for in the orders, or in the cheaper frames given per
-    key in ``hot_from``.
     """
     return join_chain(
         {
@@ -102,6 +92,4 @@ def enrich_inner(
                 rename=prefixed("product", *SHARED_COLUMNS),
             ),
         ],
-        hot_from=hot_from or {"customer_id": orders, "product_id": orders},
-        **join_options,
     )

@@ -1,118 +1,36 @@
-"""Joins of large fact rows with one-row-per-key tables, safe against hot keys."""
+"""Joins of large fact rows with one-row-per-key tables.
+
+One equi-join each; which side is sent where is left to Spark. A key with many rows
+is split at run time by adaptive execution from the real sizes of the shuffle, also
+if a grouping or another join on the same key follows (see ``ledgerloom.session``).
+Building a join starts no job.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from typing import Any
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ledgerloom.sizing import fits_broadcast, input_bytes
 from ledgerloom.specs import JoinSpec
 
-#: A key with more rows than this is too much for one task.
-HOT_ROWS = 5_000_000
-#: A left side that reads at most this much is no burden even if all of it
-#: meets in one task.
-SKEW_CHECK_BYTES = 256 << 20
-#: Most keys treated as hot; any key beyond them has under 1/10000 of all rows.
-MAX_HOT_KEYS = 10_000
-
-#: Optional weight column of the frames in which hot keys are looked for.
-ROWS = "_rows"
-
-_KEY, _SALT, _SPLITS = "_hot_key", "_salt", "_splits"
-
 
 def join_lookup(
-    left: DataFrame,
-    right: DataFrame,
-    left_key: str,
-    right_key: str | None = None,
-    how: str = "inner",
-    *,
-    hot_from: DataFrame | None = None,
-    hot_rows: int = HOT_ROWS,
-    skew_check_bytes: int = SKEW_CHECK_BYTES,
-    broadcast_bytes: int | None = None,
+    left: DataFrame, right: DataFrame, left_key: str, right_key: str | None = None, how: str = "inner"
 ) -> DataFrame:
-    """``left`` join ``right`` on one key, keeping the left key column.
-
-    * If Spark estimates ``right`` below its broadcast limit, the join is left
-      to Spark: no shuffle, so the distribution of keys does not matter.
-    * The same holds if ``left`` is small, since no task can get too much of it.
-    * Otherwise the keys of ``left`` are counted. Without hot keys this is one
-      shuffled join.
-    * The rows of a hot key are spread over as many tasks as its count asks
-      for, by a salt, and its few right rows are copied to each of them. The
-      result is that of the plain join, and either side is read once.
-
-    ``hot_from`` is a cheaper frame with the same key distribution to count
-    (for example the base table, when ``left`` is already a long plan).
-    """
-    right_key = right_key or left_key
-    hot_from = left if hot_from is None else hot_from
-    if fits_broadcast(right, broadcast_bytes) or input_bytes(hot_from) <= skew_check_bytes:
-        return _join(left, right, [(left_key, right_key)], how)
-
-    hot = hot_keys(hot_from, left_key, hot_rows)
-    if not hot:
-        return _join(left, right, [(left_key, right_key)], how)
-    left_salted = _with_splits(left, left_key, hot).withColumn(
-        # Stable when a task is repeated, and different for identical rows.
-        _SALT, F.pmod(F.spark_partition_id(), F.col(_SPLITS))
-    )
-    right_salted = _with_splits(right, right_key, hot).withColumn(
-        _SALT, F.explode(F.sequence(F.lit(0), F.col(_SPLITS) - 1))
-    )
-    joined = _join(
-        left_salted.drop(_SPLITS),
-        right_salted.drop(_SPLITS),
-        [(left_key, right_key), (_SALT, _SALT)],
-        how,
-    )
-    return joined.drop(_SALT)
-
+    """``left`` join ``right`` on one key, keeping the left key column only."""
+    matched = f"_right_{right_key or left_key}"
+    renamed = right.withColumnRenamed(right_key or left_key, matched)
+    return left.join(renamed, F.col(left_key) == F.col(matched), how).drop(matched)
 
-def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> dict[Any, int]:
-    """Tasks needed by each value of ``key`` that has more than ``hot_rows`` rows.
 
-    A frame that is counted already says in ``ROWS`` how many rows each of its
-    rows stands for. Counts are combined before the shuffle and only this short
-    list reaches the driver.
-    """
-    n = F.sum(ROWS) if ROWS in df.columns else F.count(F.lit(1))
-    counts = df.groupBy(F.col(key).alias("key")).agg(n.alias("n"))
-    top = counts.where(F.col("n") > hot_rows).orderBy(F.desc("n")).limit(MAX_HOT_KEYS)
-    return {row.key: -(-row.n // hot_rows) for row in top.collect()}
-
-
-def _with_splits(df: DataFrame, key: str, hot: Mapping[Any, int]) -> DataFrame:
-    """``df`` with the number of tasks for the key of each row, 1 for most."""
-    schema = T.StructType(
-        [T.StructField(_KEY, df.schema[key].dataType), T.StructField(_SPLITS, T.IntegerType())]
-    )
-    values = [(k, n) for k, n in hot.items() if k is not None]
-    small = F.broadcast(df.sparkSession.createDataFrame(values, schema))
-    splits = F.when(F.col(key).isNull(), hot.get(None, 1)).otherwise(F.coalesce(_SPLITS, F.lit(1)))
-    return df.join(small, F.col(key) == F.col(_KEY), "left").drop(_KEY).withColumn(_SPLITS, splits)
-
-
-def join_chain(
-    frames: Mapping[str, DataFrame],
-    joins: Sequence[JoinSpec],
-    *,
-    hot_from: Mapping[str, DataFrame] | None = None,
-    **options,
-) -> DataFrame:
+def join_chain(frames: Mapping[str, DataFrame], joins: Sequence[JoinSpec]) -> DataFrame:
     """Fold declared joins over named frames.
 
     The first join names its left side; later ones continue the running
     result. Columns of a right side are renamed as declared, and a name that is
     still taken is an error here instead of an ambiguous reference later.
-    ``hot_from`` maps a left key to a cheaper frame to look for hot keys in.
     """
     if not joins or joins[0].left is None:
         raise ValueError("the first join must name its left side")
@@ -125,22 +43,5 @@ def join_chain(
         clashes = set(result.columns) & set(right.columns) - {key}
         if clashes:
             raise ValueError(f"join with {join.right}: columns {sorted(clashes)} exist already")
-        result = join_lookup(
-            result,
-            right,
-            join.left_key,
-            key,
-            join.how,
-            hot_from=(hot_from or {}).get(join.left_key),
-            **options,
-        )
+        result = join_lookup(result, right, join.left_key, key, join.how)
     return result
-
-
-def _join(
-    left: DataFrame, right: DataFrame, keys: Sequence[tuple[str, str]], how: str
-) -> DataFrame:
-    """Equi-join that keeps the left key columns only."""
-    matched = {r: f"_right_{r}" for _, r in keys}
-    condition = [F.col(l) == F.col(matched[r]) for l, r in keys]
-    return left.join(right.withColumnsRenamed(matched), condition, how).drop(*matched.values())

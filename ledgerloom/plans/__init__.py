@@ -1,11 +1,12 @@
 """Layers composed from the operators."""
 
-from ledgerloom.plans.bronze import run_bronze
+from ledgerloom.plans.bronze import bronze_table, run_bronze
 from ledgerloom.plans.gold import gold_tables, mart_tables, run_gold, run_marts
 from ledgerloom.plans.medallion import run_medallion
 from ledgerloom.plans.silver import enrich_left, run_silver, run_silver_enriched, silver_core
 
 __all__ = [
+    "bronze_table",
     "enrich_left",
     "gold_tables",
     "mart_tables",

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.catalog import DERIVED_COLUMNS, DROPPED_COLUMNS, ENRICH_JOINS, UNIONS
-from ledgerloom.operators.dedup import latest_per_key, union_latest, union_sources
+from ledgerloom.operators.dedup import latest_per_key, union_latest
 from ledgerloom.operators.enrich import (
     active_only,
     add_customer_age,
@@ -33,9 +33,7 @@ from ledgerloom.specs import LOADED_AT, SILVER_LOADED_AT
 PROCESSOR = "silver"
 
 
-def silver_core(
-    orders: DataFrame, customers: DataFrame, products: DataFrame, **join_options
-) -> DataFrame:
+def silver_core(orders: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
     """Orders of active customers and products that are not cancelled, with tax.
 
     All joins are inner, so each filter is applied to the table it concerns,
@@ -45,7 +43,6 @@ def silver_core(
         not_cancelled(orders),
         active_only(customers, ["is_active"]),
         active_only(products, ["is_active"]),
-        **join_options,
     )
     return add_tax(joined)
 
@@ -59,10 +56,13 @@ def run_silver(
     *,
     load_mode: str = "full",
     marks: str | None = None,
-    **join_options,
+    fmt: str = "parquet",
 ) -> bool:
     """Write ``silver_core``; returns False when there was nothing to write.
 
+    The tables have one row per key. An order that is loaded anew comes again in
+    a later batch; ``silver_table`` reads its latest version.
+
     Incremental runs take the orders loaded after the stored mark. Each writes
     a ``load_batch`` folder named by the mark it started from and stores the
     new mark last, so a run that failed half-way is simply repeated. Only
@@ -70,56 +70,45 @@ def run_silver(
     rewrite earlier batches.
     """
     if load_mode != "incremental":
-        return write_table(
-            _stamped(silver_core(orders, customers, products, **join_options)), target
-        )
+        return write_table(_stamped(silver_core(orders, customers, products)), target, fmt=fmt)
     mark = read_mark(spark, marks, PROCESSOR)
     upto = _loaded_upto(orders, mark)
     if upto is None:
         return False
     fresh = since(orders, LOADED_AT, mark, upto)
     write_table(
-        _stamped(silver_core(fresh, customers, products, **join_options)),
+        _stamped(silver_core(fresh, customers, products)),
         f"{target}/load_batch={batch_label(mark)}",
+        fmt=fmt,
         known_non_empty=True,
     )
     store_mark(spark, marks, PROCESSOR, upto)
     return True
 
 
-def enrich_left(
-    sources: Mapping[str, DataFrame],
-    *,
-    as_of: str | None = None,
-    hot_from: Mapping[str, DataFrame] | None = None,
-    **join_options,
-) -> DataFrame:
+def enrich_left(sources: Mapping[str, DataFrame], *, as_of: str | None = None) -> DataFrame:
     """Orders of all sources with customer, product and latest price, and the
     derived columns.
 
     The result has one row per order already: the union keeps the latest
     version of each order while ``updated_at`` is still there, and every table
-    joined to it is one row per key. Deduplicating again after the joins would
+    joined to it is one row per key. Prices have one row per product and day.
+    Deduplicating again after the joins would
     shuffle the widest rows for nothing.
-
-    Hot keys are looked for in the order sources, or in the cheaper frames given
-    per key in ``hot_from``.
     """
     merged = {
         name: union_latest(
             [_timed(drop_lineage(sources[t])) for t in union.tables if t in sources],
             union.key,
             union.order_by,
+            tie_break=union.tie_break,
         )
         for name, union in UNIONS.items()
     }
     merged["api_pricing"] = latest_per_key(
-        drop_lineage(sources["api_pricing"]), ["product_id"], "price_date"
+        drop_lineage(sources["api_pricing"]), ["product_id"], "price_date", tie_break=()
     )
-    if hot_from is None:
-        orders = union_sources([sources[t] for t in UNIONS["all_orders"].tables if t in sources])
-        hot_from = {"customer_id": orders, "product_id": orders}
-    joined = join_chain(merged, ENRICH_JOINS, hot_from=hot_from, **join_options)
+    joined = join_chain(merged, ENRICH_JOINS)
     derived = add_customer_age(derive(joined, DERIVED_COLUMNS), as_of)
     return derived.drop(*DROPPED_COLUMNS)
 
@@ -130,7 +119,7 @@ def run_silver_enriched(
     target: str,
     *,
     as_of: str | None = None,
-    **join_options,
+    fmt: str = "parquet",
 ) -> bool:
     """Write ``enrich_left`` by order date; False when no source has an order.
 
@@ -141,13 +130,22 @@ def run_silver_enriched(
     if all(df.isEmpty() for df in orders):
         return False
     return write_table(
-        _stamped(enrich_left(sources, as_of=as_of, **join_options)),
+        _stamped(enrich_left(sources, as_of=as_of)),
         target,
+        fmt=fmt,
         partition_by=("order_date",),
         known_non_empty=True,
     )
 
 
+def silver_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """Silver orders; over several batches, the latest version of each."""
+    rows = spark.read.format(fmt).load(path)
+    if "load_batch" not in rows.columns:
+        return rows
+    return latest_per_key(rows, ["order_id"], SILVER_LOADED_AT, tie_break=[F.desc("load_batch")])
+
+
 def _loaded_upto(orders: DataFrame, mark: datetime | None) -> datetime | None:
     return next_mark(since(orders, LOADED_AT, mark), LOADED_AT).collect()[0].mark
 

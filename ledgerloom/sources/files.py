@@ -24,18 +24,20 @@ from ledgerloom.specs import CORRUPT_COLUMN, RAW_OP_COLUMN, SOURCE_FILE, TableSp
 CORRUPT_FIELDS = "_corrupt_fields"
 
 
-def scan(spark: SparkSession, spec: TableSpec, path: str) -> DataFrame:
+def scan(spark: SparkSession, spec: TableSpec, path: str | list[str]) -> DataFrame:
     """Raw table as declared by ``spec``.
 
     CSV and JSON come back typed, with ``_corrupt_record`` holding the raw
     text of a row that is malformed or has a field that is not of its declared
     type, and ``_corrupt_fields`` naming those fields. Parquet comes back with
     the types of its files. All carry the path of the file they came from.
+    ``path`` is a folder or a list of files.
     """
     if spec.is_change_feed:
         return scan_changes(spark, spec, path)
     if spec.source_format == "parquet":
-        raw = spark.read.options(**spec.read_options).parquet(path)
+        paths = [path] if isinstance(path, str) else path
+        raw = spark.read.options(**spec.read_options).parquet(*paths)
         return raw.withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
     return _typed(_read(spark.read, spec, spec.schema.names, path), spec, parse_text)
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -11,18 +10,28 @@ from pyspark.sql import SparkSession
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder named by ``spark.checkpoint.dir``.
 
-    Without that setting a local session gets a temporary folder; any other
-    session is refused, because its executors would each see a different disk.
+    Where that is unset, the session's checkpoint folder is taken; a session
+    without either is refused.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="ledgerloom-")
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
 def discard(spark: SparkSession, path: str) -> None:
-    """Remove an intermediate table that nothing reads any more."""
+    """Remove a table that nothing reads any more."""
+    folder, files = _opened(spark, path)
+    files.delete(folder, True)
+
+
+def move(spark: SparkSession, path: str, target: str) -> None:
+    """Give a complete table its place."""
+    folder, files = _opened(spark, path)
+    if not files.rename(folder, _opened(spark, target)[0]):
+        raise OSError(f"{path} could not be renamed to {target}")
+
+
+def _opened(spark: SparkSession, path: str):
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())

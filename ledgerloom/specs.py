@@ -128,11 +128,16 @@ class JoinSpec:
 
 @dataclass(frozen=True)
 class UnionSpec:
-    """Same-entity tables merged into one row per key, latest first."""
+    """Same-entity tables merged into one row per key, latest first.
+
+    ``tie_break`` decides between rows of one key, time and table. It names as few
+    columns as do, because each one is read and shuffled whatever a query needs.
+    """
 
     tables: tuple[str, ...]
     key: str
     order_by: str
+    tie_break: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)

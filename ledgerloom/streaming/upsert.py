@@ -11,6 +11,7 @@ arrive.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,8 +20,9 @@ from pyspark.sql.streaming import StreamingQuery
 from ledgerloom.operators.cdc import current_state
 from ledgerloom.operators.dedup import latest_per_key, union_sources
 from ledgerloom.sources.files import read_if_exists
+from ledgerloom.sources.scratch import discard
 
-_BATCH = "batch_id"
+_STREAM, _BATCH, _VERSION = "stream", "batch_id", "version"
 
 
 def upsert_stream(
@@ -30,11 +32,18 @@ def upsert_stream(
     keys: Sequence[str],
     order_by: str,
 ) -> StreamingQuery:
-    """Apply all available changes of a streaming frame to the state, then stop."""
+    """Apply all available changes of a streaming frame to the state, then stop.
+
+    Batches are folders named by the stream's own id and the batch number, so a
+    stream with a new checkpoint, whose numbers start again, adds to the state.
+    """
 
     def apply_batch(batch: DataFrame, batch_id: int) -> None:
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         latest = latest_per_key(batch, keys, order_by)
-        latest.write.mode("overwrite").parquet(f"{state_path}/changes/{_BATCH}={batch_id}")
+        latest.write.mode("overwrite").parquet(
+            f"{state_path}/changes/{_STREAM}=s{stream}/{_BATCH}={batch_id}"
+        )
 
     query = (
         changes.writeStream.foreachBatch(apply_batch)
@@ -50,53 +59,82 @@ def read_state(
     spark: SparkSession, state_path: str, keys: Sequence[str], order_by: str, op: str
 ) -> DataFrame:
     """Current rows of the state: latest change per key, deleted keys left out."""
-    return current_state(_all_changes(spark, state_path), keys, order_by, op)
+    version = _published(spark, state_path)
+    parts = [x for x in (_pending(spark, state_path, version), _base(spark, state_path, version)) if x is not None]
+    if not parts:
+        raise ValueError(f"no state at {state_path}")
+    return current_state(union_sources(parts).drop(_STREAM, _BATCH), keys, order_by, op)
 
 
 def compact_state(
     spark: SparkSession, state_path: str, keys: Sequence[str], order_by: str
 ) -> int | None:
-    """Fold the batches into a new base and return the last batch in it.
+    """Fold the pending batches into a new base; its version, None if nothing is pending.
 
-    The new base is a folder of its own and counts once its rows are complete;
-    batches it covers are then skipped by readers and can be removed by
-    whatever retention policy applies to the folder.
+    The folders are listed once. What is folded and what is published as folded
+    both come from that listing, so a batch that lands meanwhile stays pending.
+    The new base counts once its version is published; readers then skip what it
+    covers, and ``remove_folded`` removes it.
     """
-    everything = _all_changes(spark, state_path)
-    pending = _pending(spark, state_path)
-    if pending is None or pending.isEmpty():
+    version = _published(spark, state_path)
+    pending = _pending(spark, state_path, version)
+    if pending is None:
         return None
-    upto = pending.agg(F.max(_BATCH)).collect()[0][0]
-    folded = latest_per_key(everything, keys, order_by)
-    folded.write.mode("overwrite").parquet(f"{state_path}/base/upto={upto}")
-    _publish(spark, state_path, upto)
-    return upto
-
-
-def _all_changes(spark: SparkSession, state_path: str) -> DataFrame:
-    upto = _published(spark, state_path)
-    pending = _pending(spark, state_path)
-    parts = [] if pending is None else [pending.drop(_BATCH)]
-    if upto is not None:
-        parts.append(spark.read.parquet(f"{state_path}/base/upto={upto}"))
-    if not parts:
-        raise ValueError(f"no state at {state_path}")
-    return union_sources(parts)
+    marks = pending.groupBy(_STREAM).agg(F.max(_BATCH).cast("long").alias("upto")).collect()  # one row per stream
+    if not marks:
+        return None
+    number = (version or 0) + 1
+    folded = reduce(
+        lambda a, b: a | b, [(F.col(_STREAM) == m[_STREAM]) & (F.col(_BATCH) <= m["upto"]) for m in marks]
+    )
+    parts = [pending.where(folded), _base(spark, state_path, version)]
+    everything = union_sources([x for x in parts if x is not None]).drop(_STREAM, _BATCH)
+    latest_per_key(everything, keys, order_by).write.mode("overwrite").parquet(f"{state_path}/base/{_VERSION}={number}")
+    covered = {m[_STREAM]: m["upto"] for m in _marks(spark, state_path, version)} | {m[_STREAM]: m["upto"] for m in marks}
+    rows = spark.createDataFrame(list(covered.items()), f"{_STREAM} string, upto long")
+    rows.coalesce(1).write.mode("overwrite").parquet(f"{state_path}/versions/{_VERSION}={number}")
+    return number
+
 
+def remove_folded(spark: SparkSession, state_path: str) -> int:
+    """Remove the batches that the published base covers, and older bases; how many folders went.
 
-def _pending(spark: SparkSession, state_path: str) -> DataFrame | None:
-    upto = _published(spark, state_path)
+    For a time when no reader still works from an older version.
+    """
+    version = _published(spark, state_path)
+    if version is None:
+        return 0
+    found = read_if_exists(spark, f"{state_path}/changes")
+    upto = {m[_STREAM]: m["upto"] for m in _marks(spark, state_path, version)}
+    folders = [] if found is None else found.select(_STREAM, _BATCH).distinct().toLocalIterator()
+    gone = [
+        f"{state_path}/changes/{_STREAM}={f[_STREAM]}/{_BATCH}={f[_BATCH]}"
+        for f in folders if f[_BATCH] <= upto.get(f[_STREAM], -1)
+    ]
+    gone += [f"{state_path}/base/{_VERSION}={n}" for n in range(1, version)]
+    for folder in gone:
+        discard(spark, folder)
+    return len(gone)
+
+
+def _pending(spark: SparkSession, state_path: str, version: int | None) -> DataFrame | None:
+    """Batches that the base of ``version`` does not cover."""
     batches = read_if_exists(spark, f"{state_path}/changes")
-    if batches is None or upto is None:
-        return batches
-    return batches.where(F.col(_BATCH) > upto)
+    if batches is None:
+        return None
+    for mark in _marks(spark, state_path, version):
+        batches = batches.where((F.col(_STREAM) != mark[_STREAM]) | (F.col(_BATCH) > mark["upto"]))
+    return batches
+
+
+def _base(spark: SparkSession, state_path: str, version: int | None) -> DataFrame | None:
+    return None if version is None else spark.read.parquet(f"{state_path}/base/{_VERSION}={version}")
 
 
 def _published(spark: SparkSession, state_path: str) -> int | None:
     versions = read_if_exists(spark, f"{state_path}/versions")
-    return None if versions is None else versions.agg(F.max("upto")).collect()[0][0]
+    return None if versions is None else versions.agg(F.max(_VERSION)).first()[0]
 
 
-def _publish(spark: SparkSession, state_path: str, upto: int) -> None:
-    version = spark.range(1, numPartitions=1).select(F.lit(upto).cast("long").alias("upto"))
-    version.write.mode("append").parquet(f"{state_path}/versions")
+def _marks(spark: SparkSession, state_path: str, version: int | None) -> list:
+    return [] if version is None else spark.read.parquet(f"{state_path}/versions/{_VERSION}={version}").collect()

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.joins import ROWS, join_lookup
+from ledgerloom.operators.joins import join_lookup
 from ledgerloom.specs import RAW_OP_COLUMN
 
 MONEY = "decimal(18,2)"
@@ -42,8 +42,7 @@ def order_lines(spark: SparkSession, sf_dir: str, *, shipping: bool = False) ->
     joined = join_lookup(lines, headers, "l_orderkey", "o_orderkey")
     if shipping:
         home = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-        weighted = order_keys(spark, sf_dir)["customer_id"].withColumnRenamed("customer_id", "o_custkey")
-        joined = join_lookup(joined, home, "o_custkey", "c_custkey", hot_from=weighted)
+        joined = join_lookup(joined, home, "o_custkey", "c_custkey")
         joined = joined.join(_places(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"))
     return joined.selectExpr(
         "l_orderkey * 8 + l_linenumber as order_id",
@@ -66,18 +65,6 @@ def order_lines(spark: SparkSession, sf_dir: str, *, shipping: bool = False) ->
     )
 
 
-def order_keys(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """How often customers and products occur in ``order_lines``, for less than
-    that frame costs: lines are counted per order before they meet its header."""
-    lines = table(spark, sf_dir, "lineitem")
-    per_order = lines.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias(ROWS))
-    owners = table(spark, sf_dir, "orders").selectExpr("o_orderkey", "o_custkey as customer_id")
-    return {
-        "customer_id": per_order.join(owners, F.col("l_orderkey") == F.col("o_orderkey")),
-        "product_id": lines.selectExpr("l_partkey as product_id"),
-    }
-
-
 def order_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order headers alone, for operators that need no product."""
     return table(spark, sf_dir, "orders").selectExpr(

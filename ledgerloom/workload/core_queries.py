@@ -34,12 +34,7 @@ from ledgerloom.workload.sql import AS_OF, day, mean, total, with_ctes
 
 def core(spark: SparkSession, sf: str) -> DataFrame:
     """Enriched orders of the small star schema."""
-    return silver_core(
-        b.order_lines(spark, sf),
-        b.customers(spark, sf),
-        b.products(spark, sf),
-        hot_from=b.order_keys(spark, sf),
-    )
+    return silver_core(b.order_lines(spark, sf), b.customers(spark, sf), b.products(spark, sf))
 
 
 @query(
@@ -87,12 +82,7 @@ def join_orders_customers(spark, sf):
     from ord join cust using (customer_id) join prod using (product_id)"""),
 )
 def enrich_inner_query(spark, sf):
-    joined = enrich_inner(
-        b.order_lines(spark, sf),
-        b.customers(spark, sf),
-        b.products(spark, sf),
-        hot_from=b.order_keys(spark, sf),
-    )
+    joined = enrich_inner(b.order_lines(spark, sf), b.customers(spark, sf), b.products(spark, sf))
     return joined.select(
         "order_id",
         "customer_id",
@@ -124,7 +114,7 @@ def join_chain_query(spark, sf):
         JoinSpec("customers", "customer_id", "customer_id", "inner", left="orders"),
         JoinSpec("active_products", "product_id", "product_id", "left"),
     ]
-    return join_chain(frames, joins, hot_from=b.order_keys(spark, sf)).select(
+    return join_chain(frames, joins).select(
         "order_id", "customer_name", "product_name", "category"
     )
 
@@ -296,9 +286,7 @@ def agg_daily_revenue(spark, sf):
     from core group by city"""),
 )
 def agg_city_orders(spark, sf):
-    silver = core(spark, sf)
-    customers = dimension(silver, catalog.DIM_CUSTOMERS_CORE)
-    return city_orders(fact(silver, catalog.FACT_CORE), customers)
+    return city_orders(core(spark, sf))
 
 
 @query(
@@ -309,6 +297,4 @@ def agg_city_orders(spark, sf):
     from core group by product_id, product_name, category"""),
 )
 def agg_product_sales(spark, sf):
-    silver = core(spark, sf)
-    products = dimension(silver, catalog.DIM_PRODUCTS_CORE)
-    return product_sales(fact(silver, catalog.FACT_CORE), products)
+    return product_sales(core(spark, sf))

@@ -34,7 +34,7 @@ def sources(spark: SparkSession, sf: str, *, shipping: bool = False) -> dict[str
 def wide(spark: SparkSession, sf: str, *, shipping: bool = False) -> DataFrame:
     """Enriched orders of the wide star schema."""
     frames = sources(spark, sf, shipping=shipping)
-    return enrich_left(frames, as_of=AS_OF, hot_from=b.order_keys(spark, sf))
+    return enrich_left(frames, as_of=AS_OF)
 
 
 @query(
@@ -58,7 +58,7 @@ def _merged(spark, sf, name):
     frames = sources(spark, sf)
     plain, feed = (frames[t] for t in spec.tables)
     plain = plain.withColumn("updated_at", F.lit(None).cast("timestamp"))
-    return union_latest([plain, feed], spec.key, spec.order_by)
+    return union_latest([plain, feed], spec.key, spec.order_by, spec.tie_break)
 
 
 @query(
@@ -114,7 +114,7 @@ def enrich_left_query(spark, sf):
         "all_products": b.products(spark, sf).where("is_active"),
         "api_pricing": latest_prices.where("product_id % 7 <> 0"),
     }
-    joined = join_chain(frames, catalog.ENRICH_JOINS, hot_from=b.order_keys(spark, sf))
+    joined = join_chain(frames, catalog.ENRICH_JOINS)
     return joined.select(
         "order_id",
         "customer_id",

@@ -139,7 +139,7 @@ CTES |= {
         "ord2",
         "order_id",
         _NEWEST,
-        ORDER_COLUMNS,
+        ["order_id", "total_amount"],
     ),
     "all_cust": _latest("cust2", "customer_id", _NEWEST, ["customer_id"] + ["customer_name"]),
     "all_prod": _latest("prod2", "product_id", _NEWEST, ["product_id"] + ["product_name"]),

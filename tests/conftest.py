@@ -3,18 +3,19 @@ import os
 import pytest
 from pyspark.sql import SparkSession
 
+from ledgerloom.session import configured
+
 
 @pytest.fixture(scope="session")
-def spark():
-    session = (
+def spark(tmp_path_factory):
+    builder = (
         SparkSession.builder.master("local[4]")
         .appName("ledgerloom-tests")
         .config("spark.driver.memory", "4g")
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "4")
-        .config("spark.sql.session.timeZone", "UTC")
-        .getOrCreate()
     )
+    session = configured(builder, f"file://{tmp_path_factory.mktemp('shared')}").getOrCreate()
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

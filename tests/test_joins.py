@@ -2,12 +2,26 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.enrich import enrich_inner
-from ledgerloom.operators.joins import ROWS, hot_keys, join_chain, join_lookup
-from ledgerloom.sizing import fits_broadcast, parse_bytes
+from ledgerloom.operators.joins import join_chain, join_lookup
 from ledgerloom.specs import JoinSpec
 
-#: Options under which even tiny frames take the path for large ones.
-LARGE = {"skew_check_bytes": 0, "broadcast_bytes": 0, "hot_rows": 10}
+#: Limits under which a few kilobytes of one key are a skewed partition.
+SMALL = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+}
+
+
+@pytest.fixture
+def small_limits(spark):
+    for key, value in SMALL.items():
+        spark.conf.set(key, value)
+    yield
+    for key in SMALL:
+        spark.conf.unset(key)
 
 
 @pytest.fixture
@@ -23,49 +37,54 @@ def lookup(spark):
     return spark.createDataFrame([(1, "one"), (2, "two"), (3, "three"), (20, "none")], "k int, name string")
 
 
-def test_hot_keys_counts_tasks(facts):
-    assert hot_keys(facts, "k", 10) == {1: 10, None: 3}
-    assert hot_keys(facts, "k", 1000) == {}
-    counted = facts.groupBy("k").agg(F.count(F.lit(1)).alias(ROWS))
-    assert hot_keys(counted, "k", 10) == {1: 10, None: 3}
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("how", ["inner", "left"])
-def test_salted_join_equals_plain_join(facts, lookup, rows, how):
-    salted = join_lookup(facts, lookup, "k", how=how, **LARGE)
-    assert salted.columns == ["k", "v", "name"]
-    assert rows(salted) == rows(facts.join(lookup, "k", how))
+def skewed(spark, hot):
+    """20,000 rows over eight tasks; ``hot`` is the key of half of them."""
+    wide = spark.range(20_000, numPartitions=8).withColumn("v", F.sha2(F.col("id").cast("string"), 256))
+    return wide.withColumn("k", F.when(F.col("id") % 2 == 0, F.lit(hot)).otherwise(F.col("id") % 500))
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_salted_join_with_repeated_right_keys(facts, lookup, rows, how):
+def test_lookup_equals_join(facts, lookup, rows, how):
+    joined = join_lookup(facts, lookup, "k", how=how)
+    assert joined.columns == ["k", "v", "name"]
+    assert rows(joined) == rows(facts.join(lookup, "k", how))
     twice = lookup.unionByName(lookup.withColumn("name", F.upper("name")))
-    salted = join_lookup(facts, twice, "k", how=how, **LARGE)
-    assert rows(salted) == rows(facts.join(twice, "k", how))
+    assert rows(join_lookup(facts, twice, "k", how=how)) == rows(facts.join(twice, "k", how))
 
 
 def test_different_key_names(facts, lookup, rows):
     renamed = lookup.withColumnRenamed("k", "id")
-    for options in ({}, LARGE):
-        joined = join_lookup(facts, renamed, "k", "id", **options)
-        assert rows(joined) == rows(facts.join(lookup, "k"))
+    assert rows(join_lookup(facts, renamed, "k", "id")) == rows(facts.join(lookup, "k"))
 
 
-def test_salt_spreads_a_hot_key(facts, lookup, spark):
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        joined = join_lookup(facts, lookup, "k", **LARGE)
-        tasks = joined.where("k = 1").select(F.spark_partition_id().alias("p")).distinct().count()
-    finally:
-        spark.conf.unset("spark.sql.adaptive.enabled")
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert tasks > 1
+@pytest.mark.parametrize(("how", "hot"), [("inner", 7), ("left", 7), ("left", None)])
+def test_hot_key_is_split_at_run_time(spark, small_limits, how, hot):
+    names = spark.range(500).withColumn("name", F.col("id").cast("string"))
+    joined = join_lookup(skewed(spark, hot), names, "k", "id", how)
+    assert "skew=true" in final_plan(joined)
 
 
-def test_no_hot_key_is_one_plain_join(facts, lookup, rows):
-    options = {**LARGE, "hot_rows": 1000}
-    assert rows(join_lookup(facts, lookup, "k", **options)) == rows(facts.join(lookup, "k"))
+def test_hot_key_is_split_before_a_grouping_and_a_second_join(spark, small_limits):
+    names = spark.range(500).withColumn("name", F.col("id").cast("string"))
+    grouped = join_lookup(skewed(spark, 7), names, "k", "id").groupBy("k").agg(F.max("v"), F.max("name"))
+    assert "skew=true" in final_plan(grouped)
+    other = spark.range(500).selectExpr("id as id2", "id * 2 as twice")
+    chain = join_lookup(join_lookup(skewed(spark, 7), names, "k", "id"), other, "k", "id2")
+    assert "skew=true" in final_plan(chain)
+
+
+def test_building_a_join_starts_no_job(spark, facts, lookup):
+    spark.sparkContext.setJobGroup("building", "joins")
+    try:
+        join_chain({"f": facts, "l": lookup}, [JoinSpec("l", "k", "k", left="f")])
+        assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("building")) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_join_chain_renames_and_continues(spark, rows):
@@ -85,8 +104,6 @@ def test_join_chain_renames_and_continues(spark, rows):
         (2, 11, 101, None, None),
         (3, None, 100, None, False),
     ]
-    salted = join_chain(frames, joins, **{**LARGE, "hot_rows": 1})
-    assert rows(salted) == rows(joined)
 
 
 def test_join_chain_refuses_clashing_names(spark):
@@ -109,10 +126,3 @@ def test_enrich_inner_is_within_left_join(spark, rows):
     joined = enrich_inner(orders, customers, products)
     assert rows(joined) == [(1, 1, 1, True, False)]
     assert joined.columns[-2:] == ["customer_is_active", "product_is_active"]
-
-
-def test_sizes(spark):
-    assert [parse_bytes(t) for t in ("10485760b", "10m", "10MB", "-1", "1g")] == [
-        10485760, 10 << 20, 10 << 20, -1, 1 << 30,
-    ]
-    assert fits_broadcast(spark.range(10)) and not fits_broadcast(spark.range(10), 0)

@@ -130,13 +130,13 @@ def plain(silver, dims, key, group):
 
 def test_pre_aggregated_city_and_product(silver, rows):
     customers = dimension(silver, catalog.DIM_CUSTOMERS_CORE)
-    cities = city_orders(silver, customers)
+    cities = city_orders(silver)
     direct = plain(silver, customers.select("customer_id", "city"), "customer_id", ["city"])
     assert rows(cities) == rows(direct)
     assert [r.city for r in cities.collect()] == ["Y", "X"]
 
     products = dimension(silver, catalog.DIM_PRODUCTS_CORE).drop("price")
-    sales = product_sales(silver, products)
+    sales = product_sales(silver)
     group = ["product_id", "product_name", "category"]
     direct = plain(silver, products, "product_id", group).drop("unique_customers")
     assert rows(sales) == rows(direct)
