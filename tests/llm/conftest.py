@@ -1,0 +1,27 @@
+import pytest
+
+
+@pytest.fixture(scope="session")
+def odd_docs(spark):
+    """Nulls in every column, an empty, a blank and a long text, repeats, and columns named like the operators' own."""
+    long = " ".join(f"word{i % 977}x{i % 13}" for i in range(30_000))
+    rows = [
+        (1, "A first text that says some things about nothing, twice over.", "en", "a"),
+        (2, "A first text that says some things about nothing, twice over.", "en", "a"),
+        (3, None, "en", "a"),
+        (4, "", "de", None),
+        (5, " \t\n ", None, "b"),
+        (6, long, "en", "b"),
+        (7, long, "en", "b"),
+        (8, "123 456", None, None),
+        (None, "A text without an id.", "en", "c"),
+        (None, None, None, None),
+        (9, "Repeated row.", "en", "a"),
+        (9, "Repeated row.", "en", "a"),
+    ]
+    named = "doc_id long, text string, lang string, source string"
+    own = ["id", "hash", "key", "mark", "class", "component_id", "keep_id", "group_size", "component", "block", "row"]
+    frame = spark.createDataFrame(rows, named)
+    for name in own:
+        frame = frame.selectExpr("*", f"'clash' as `{name}`")
+    return frame
