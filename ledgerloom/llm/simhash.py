@@ -37,8 +37,8 @@ from ledgerloom.llm.components import components
 SEED = 42
 #: Rows of a block that are compared in one task; larger blocks are dealt into parts of about this size.
 TILE = 4096
-#: Query-word pairs whose counters are held at once.
-PAIRS = 1 << 16
+#: Query-word pairs whose counters are held at once; each has up to 64 near rows.
+PAIRS = 1 << 14
 #: Shingle hashes that are counted at once.
 HASHES = 1 << 15
 
@@ -129,15 +129,14 @@ def _add(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.nd
     return half ^ c, (a & b) | (half & c)
 
 
-def near_pairs(prints: np.ndarray, block: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Row pairs i < j of equal ``block`` within ``radius``; rows are sorted by block.
+def near_pairs(prints: np.ndarray, block: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row pairs i < j of equal ``block`` within ``radius``, part by part; rows are sorted by block.
 
     ``prints`` holds bytes, one row per fingerprint.
     """
     rows, width = len(prints), prints.shape[1] * 8
-    empty = np.empty(0, np.int64)
     if rows < 2:
-        return empty, empty
+        return
     words = -(-rows // 64)
     padded = np.zeros((words * 64, width), np.uint8)
     padded[:rows] = _bits(prints)
@@ -149,7 +148,6 @@ def near_pairs(prints: np.ndarray, block: np.ndarray, radius: int) -> tuple[np.n
     ends = np.cumsum(spans)
     counter_bits = max(4, int(radius + 1).bit_length() + 1)
     start = 2**counter_bits - 1 - radius
-    left, right = [], []
     begin = 0
     while begin < rows:
         stop = max(begin + 1, int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + PAIRS, side="right")))
@@ -188,25 +186,29 @@ def near_pairs(prints: np.ndarray, block: np.ndarray, radius: int) -> tuple[np.n
         if len(hit):
             near = np.unpackbits((~passed[hit]).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
             at, lane = np.nonzero(near)
-            left.append(query[hit][at])
-            right.append(word[hit][at] * 64 + lane)
-    return (np.concatenate(left), np.concatenate(right)) if left else (empty, empty)
+            yield query[hit][at], word[hit][at] * 64 + lane
 
 
-def forest(left: np.ndarray, right: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
+def _joined(low: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """``low``, the smallest row that each row reaches, with more links."""
+    while True:
+        a, b = low[left], low[right]
+        open_ = a != b
+        if not open_.any():
+            return low
+        left, right, a, b = left[open_], right[open_], a[open_], b[open_]
+        least = np.minimum(a, b)
+        np.minimum.at(low, a, least)
+        np.minimum.at(low, b, least)
+        while (low[low] != low).any():
+            low = low[low]
+
+
+def forest(pairs: Iterator[tuple[np.ndarray, np.ndarray]], rows: int) -> tuple[np.ndarray, np.ndarray]:
     """Each row with links and the smallest row that its links reach (no row linked to itself)."""
     low = np.arange(rows)
-    while True:
-        least = np.minimum(low[left], low[right])
-        new = low.copy()
-        np.minimum.at(new, left, least)
-        np.minimum.at(new, right, least)
-        np.minimum.at(new, low[left], least)
-        np.minimum.at(new, low[right], least)
-        new = new[new]
-        if (new == low).all():
-            break
-        low = new
+    for left, right in pairs:
+        low = _joined(low, left, right)
     moved = np.flatnonzero(low != np.arange(rows))
     return moved, low[moved]
 
@@ -223,7 +225,7 @@ def _compared(radius: int) -> Callable:
         edges = np.flatnonzero(part[1:] != part[:-1]) + 1
         number = np.zeros(len(part), np.int64)
         number[edges] = 1
-        a, b = forest(*near_pairs(prints, np.cumsum(number), radius), len(ids))
+        a, b = forest(near_pairs(prints, np.cumsum(number), radius), len(ids))
         return pa.record_batch([pa.array(ids[a]), pa.array(ids[b])], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
