@@ -85,12 +85,15 @@ def fingerprint(hashes: np.ndarray, lanes: int = 1) -> bytes:
     return np.packbits((total * 2 > len(hashes))[::-1]).tobytes()
 
 
-def fingerprints(docs: DataFrame, id_col: str, text_col: str, words: int, lanes: int) -> DataFrame:
-    """``id, print`` for every row."""
+def fingerprints(
+    docs: DataFrame, id_col: str, text_col: str, words: int, lanes: int, repeats: bool = True
+) -> DataFrame:
+    """``id, print`` for every row; without ``repeats`` each different shingle of a text counts once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            prints = [fingerprint(shingle_hashes(x, words), lanes) for x in batch.column(1).to_pylist()]
+            hashes = [shingle_hashes(x, words) for x in batch.column(1).to_pylist()]
+            prints = [fingerprint(x if repeats else np.unique(x), lanes) for x in hashes]
             yield pa.record_batch([batch.column(0), pa.array(prints, pa.binary())], ["id", "print"])
 
     return text_rows(docs, id_col, text_col).mapInArrow(run, "id bigint, print binary")
@@ -287,15 +290,17 @@ def near_duplicates(
     text_col: str = "text",
     words: int = 5,
     lanes: int = 4,
-    radius: int = 47,
+    radius: int = 52,
     tables: int | None = 40,
     key_bits: int = 12,
+    repeats: bool = False,
 ) -> DataFrame:
     """One row per document: ``doc_id, fingerprint, component_id``.
 
-    The defaults stand for a Jaccard similarity of five-word shingles of 0.8 or more.
+    The defaults stand for a Jaccard similarity of the sets of five-word shingles
+    of 0.8 or more, as far as 256 bits tell (see the README).
     """
-    prints = stored(fingerprints(docs, id_col, text_col, words, lanes), "prints")
+    prints = stored(fingerprints(docs, id_col, text_col, words, lanes, repeats), "prints")
     nodes = stored(prints.filter("id is not null").groupBy("print").agg(F.min("id").alias("node")), "nodes")
     found = link_prints(nodes.select(F.col("node").alias("id"), "print"), 64 * lanes, radius, tables, key_bits)
     groups = components(found)

@@ -103,7 +103,7 @@ def test_simhash_groups_against_brute_force(spark, odd_docs, monkeypatch, tile):
                     label[i], changed = label[j], True
     assert low
     want = sorted(((rows[i][0], f"{prints[i]:016x}", label.get(i)) for i in range(len(rows))), key=repr)
-    got = simhash.near_duplicates(docs, words=4, lanes=1, radius=4, tables=None)
+    got = simhash.near_duplicates(docs, words=4, lanes=1, radius=4, tables=None, repeats=True)
     assert sorted(map(tuple, got.collect()), key=repr) == want
 
 
