@@ -51,6 +51,19 @@ def spec_of(name: str, **changes) -> TableSpec:
 
 # --- raw files ----------------------------------------------------------------
 
+def _made_once(make):
+    """The files of a maker are made once per application and input folder."""
+    made = {}
+
+    def paths(spark: SparkSession, sf: str):
+        key = (spark.sparkContext.applicationId, sf)
+        if key not in made:
+            made[key] = make(spark, sf)
+        return made[key]
+
+    return paths
+
+
 def raw_orders(spark: SparkSession, sf: str) -> str:
     """Order headers in the layout of the orders file, as CSV with a header.
 
@@ -492,6 +505,7 @@ def bronze_orders(spark, sf):
     return bronze_table(spark, spec, target).select(*_DIRTY_COLUMNS)
 
 
+@_made_once
 def raw_tables(spark: SparkSession, sf: str) -> dict[str, str]:
     """The three basic raw tables, clean, in their formats."""
     lines = b.order_lines(spark, sf, shipping=True).select(*catalog.ORDERS_SCHEMA.names)
