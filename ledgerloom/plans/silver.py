@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.catalog import DERIVED_COLUMNS, DROPPED_COLUMNS, ENRICH_JOINS, UNIONS
-from ledgerloom.operators.dedup import latest_per_key, union_latest
+from ledgerloom.operators.dedup import latest_per_key, union_latest, union_sources
 from ledgerloom.operators.enrich import (
     active_only,
     add_customer_age,
@@ -27,10 +27,13 @@ from ledgerloom.operators.incremental import (
     store_mark,
 )
 from ledgerloom.operators.joins import join_chain
+from ledgerloom.sources.files import read_if_exists
+from ledgerloom.sources.scratch import discard
 from ledgerloom.sources.sinks import write_table
 from ledgerloom.specs import LOADED_AT, SILVER_LOADED_AT
 
 PROCESSOR = "silver"
+ENRICHED = "silver_enriched"
 
 
 def silver_core(orders: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
@@ -86,13 +89,16 @@ def run_silver(
     return True
 
 
-def enrich_left(sources: Mapping[str, DataFrame], *, as_of: str | None = None) -> DataFrame:
+def enrich_left(
+    sources: Mapping[str, DataFrame], *, as_of: str | None = None, days: DataFrame | None = None
+) -> DataFrame:
     """Orders of all sources with customer, product and latest price, and the
     derived columns.
 
     The result has one row per order already: the union keeps the latest
     version of each order while ``updated_at`` is still there, and every table
     joined to it is one row per key. Prices have one row per product and day.
+    With ``days`` only orders of these ``order_date`` values are enriched.
     Deduplicating again after the joins would
     shuffle the widest rows for nothing.
     """
@@ -108,6 +114,8 @@ def enrich_left(sources: Mapping[str, DataFrame], *, as_of: str | None = None) -
     merged["api_pricing"] = latest_per_key(
         drop_lineage(sources["api_pricing"]), ["product_id"], "price_date", tie_break=()
     )
+    if days is not None:
+        merged["all_orders"] = merged["all_orders"].join(days, "order_date", "left_semi")
     joined = join_chain(merged, ENRICH_JOINS)
     derived = add_customer_age(derive(joined, DERIVED_COLUMNS), as_of)
     return derived.drop(*DROPPED_COLUMNS)
@@ -120,13 +128,20 @@ def run_silver_enriched(
     *,
     as_of: str | None = None,
     fmt: str = "parquet",
+    load_mode: str = "full",
+    marks: str | None = None,
 ) -> bool:
     """Write ``enrich_left`` by order date; False when no source has an order.
 
     All joins keep every order, so the output is empty only if the order
-    sources are, which is cheap to see.
+    sources are, which is cheap to see. An incremental run replaces the days of
+    the orders loaded after the stored mark: those they have now and those they
+    had before. Only orders are looked at: a later change of a customer, product
+    or price alone rewrites no day. The mark is stored last.
     """
     orders = [sources[t] for t in UNIONS["all_orders"].tables if t in sources]
+    if load_mode == "incremental":
+        return _replace_days(spark, sources, orders, target, as_of, fmt, marks)
     if all(df.isEmpty() for df in orders):
         return False
     return write_table(
@@ -138,6 +153,43 @@ def run_silver_enriched(
     )
 
 
+def _replace_days(spark, sources, orders, target, as_of, fmt, marks) -> bool:
+    mark = read_mark(spark, marks, ENRICHED)
+    found = [upto for df in orders if (upto := _loaded_upto(df, mark)) is not None]
+    if not found:
+        return False
+    upto = max(found)
+    fresh = union_sources(
+        [since(df, LOADED_AT, mark, upto).select("order_id", "order_date") for df in orders]
+    )
+    days = fresh.select("order_date")
+    before = read_if_exists(spark, target, fmt)
+    if before is not None:
+        days = days.union(before.join(fresh, "order_id", "left_semi").select("order_date"))
+    # As many rows as days were touched; read before their folders are replaced.
+    touched = [r.order_date for r in days.where("order_date is not null").distinct().collect()]
+    if not touched:
+        store_mark(spark, marks, ENRICHED, upto)
+        return False
+    chosen = spark.createDataFrame([(d,) for d in touched], "order_date date")
+    write_table(
+        _stamped(enrich_left(sources, as_of=as_of, days=chosen)),
+        target,
+        fmt=fmt,
+        partition_by=("order_date",),
+        dynamic_overwrite=True,
+    )
+    if before is not None:  # a day that its last order has left is not overwritten by anything
+        now = union_latest(
+            [_timed(df).select("order_id", "order_date", "updated_at", "total_amount") for df in orders],
+            UNIONS["all_orders"].key, UNIONS["all_orders"].order_by, UNIONS["all_orders"].tie_break,
+        )
+        for row in chosen.join(now, "order_date", "left_anti").collect():
+            discard(spark, f"{target}/order_date={row.order_date}")
+    store_mark(spark, marks, ENRICHED, upto)
+    return True
+
+
 def silver_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Silver orders; over several batches, the latest version of each."""
     rows = spark.read.format(fmt).load(path)

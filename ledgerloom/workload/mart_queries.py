@@ -9,7 +9,9 @@ from ledgerloom import catalog
 from ledgerloom.operators.dedup import latest_per_key, union_latest, union_sources
 from ledgerloom.operators.joins import join_chain
 from ledgerloom.operators.star import build_mart, dimension, fact
-from ledgerloom.plans.silver import enrich_left
+from ledgerloom.plans.gold import run_marts
+from ledgerloom.plans.silver import enrich_left, run_silver_enriched
+from ledgerloom.sources.scratch import scratch_path
 from ledgerloom.workload import bindings as b
 from ledgerloom.workload.registry import query
 from ledgerloom.workload.sql import AS_OF, FEED_STATUS, day, mean, total, with_ctes
@@ -216,6 +218,22 @@ def mart_daily_revenue(spark, sf):
     return _mart(spark, sf, "daily_revenue")
 
 
+@query(
+    "marts_from_disk",
+    with_ctes(f"""
+    select customer_id, {total("net_amount")} as lifetime_value, count(distinct order_id) as order_count,
+           {day("min(order_date)")} as first_order, {day("max(order_date)")} as last_order,
+           {mean("net_amount")} as avg_order_value, count(distinct product_id) as distinct_products
+    from wide group by customer_id"""),
+)
+def marts_from_disk(spark, sf):
+    """The seven tables to enriched silver and all marts on disk; one mart read back."""
+    root = scratch_path(spark, "enriched")
+    run_silver_enriched(spark, sources(spark, sf, shipping=True), f"{root}/silver", as_of=AS_OF)
+    run_marts(spark, f"{root}/silver", f"{root}/marts")
+    return spark.read.parquet(f"{root}/marts/mart_customer_lifetime")
+
+
 @query(
     "mart_customer_lifetime",
     with_ctes(f"""

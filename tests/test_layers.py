@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom import catalog
+from ledgerloom.operators.dedup import latest_per_key
 from ledgerloom.operators.quality import QualityGateError
 from ledgerloom.plans import bronze_table, enrich_left, run_bronze, run_medallion, run_silver, run_silver_enriched
 from ledgerloom.plans.silver import silver_core
@@ -308,3 +309,35 @@ def test_empty_result_leaves_the_target(spark, tmp_path):
     assert spark.read.parquet(path).count() == 10 and len(glob.glob(f"{path}*")) == 1
     none = rows.where("id > 100").withColumn("v", F.lit(1))
     assert not write_table(none, path, dynamic_overwrite=True, partition_by=("id",))
+
+
+def test_incremental_enriched_silver_equals_full(spark, tmp_path, rows):
+    from datetime import date
+
+    people = spark.createDataFrame([(0, "a")], "customer_id int, customer_name string").withColumn(
+        "date_of_birth", F.lit(None).cast("date"))
+    goods = spark.createDataFrame([(0, "x")], "product_id int, product_name string")
+    prices = spark.createDataFrame([(0, "2024-01-01", 5)], "product_id int, price_date string, final_price int")
+
+    def run(orders, target, **options):
+        names = "order_id int, customer_id int, product_id int, order_date date, total_amount int, bronze_loaded_at timestamp"
+        frame = spark.createDataFrame(orders, names).withColumns({
+            "quantity": F.lit(1), "unit_price": F.lit(1).cast("decimal(10,2)"),
+            "discount_amount": F.lit(0).cast("decimal(10,2)"), "status": F.lit("open")})
+        sources = {"orders": latest_per_key(frame, ["order_id"], "bronze_loaded_at"), "customers": people,
+                   "products": goods, "api_pricing": prices}
+        return run_silver_enriched(spark, sources, target, as_of="2024-01-01", **options)
+
+    first = [(i, 0, 0, date(2024, 1, 1 + i % 3), i, datetime(2024, 2, 1)) for i in range(9)]
+    later = [(0, 0, 0, date(2024, 1, 9), 50, datetime(2024, 2, 2)), (20, 0, 0, date(2024, 1, 2), 60, datetime(2024, 2, 2))]
+    later += [(i, 0, 0, date(2024, 1, 9), 50, datetime(2024, 2, 2)) for i in (3, 6)]  # nothing is left on the 1st
+    grown, whole = str(tmp_path / "grown"), str(tmp_path / "whole")
+    options = {"load_mode": "incremental", "marks": str(tmp_path / "marks")}
+    assert run(first, grown, **options)
+    untouched = glob.glob(f"{grown}/order_date=2024-01-03/*.parquet")
+    assert run(first + later, grown, **options) and not run(first + later, grown, **options)
+    assert run(first + later, whole)
+    read = lambda path: spark.read.parquet(path).drop("silver_loaded_at")
+    assert rows(read(grown).select(*sorted(read(grown).columns))) == rows(read(whole).select(*sorted(read(grown).columns)))
+    assert glob.glob(f"{grown}/order_date=2024-01-03/*.parquet") == untouched
+    assert not glob.glob(f"{grown}/order_date=2024-01-01/*.parquet")
