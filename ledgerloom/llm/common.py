@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Text bytes that a task turns into Python objects at once.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 2 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:

@@ -3,11 +3,14 @@
 A text is cut before single spaces and around single line ends that stand between
 two other characters. Neither tokenizer forms a token across such a place, so the
 ids of the pieces, joined, are the ids of the text (the tests compare both). Pieces are encoded once per worker and
-remembered up to a fixed number; unknown pieces are encoded many at a time.
+remembered up to a fixed number; unknown pieces are encoded many at a time. A
+closing full stop or comma after a letter is a token of its own and is remembered
+apart from its word; A-Z are folded first if the tokenizer folds case itself.
 """
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterable
 
@@ -21,7 +24,8 @@ JOINED_CHARS = 1 << 15
 
 _CUTS = re.compile(r"(?<=\S)(?=[ \n]\S)|(?<=\S\n)(?=\S)")
 _DOUBLE = re.compile(r"[ \n\0][\s\0]|\s[ \n\0]")
-_PLAIN = re.compile(r" ?[^\W\d_]+[.,]?").fullmatch
+_PLAIN = re.compile(r" [^\W\d_]+").fullmatch
+_LATIN = re.compile(r"(?!İ)[A-Za-zÀ-ɏ]").fullmatch
 
 
 class Encoder:
@@ -31,15 +35,23 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
         self.known: dict[str, bytes] = {}
+        self.folds = '"Lowercase"' in json.dumps(json.loads(self.tokenizer.to_str())["normalizer"])
+        self.marks = {x: self._alone(x) for x in ".,"}
 
     def _alone(self, piece: str) -> bytes:
         return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _learn(self, pieces: Iterable[str]) -> None:
         """Pieces of letters are encoded joined and parted by their offsets, all others alone."""
-        known, plain = self.known, []
+        known, plain, marked, stems = self.known, [], [], set()
         for piece in pieces:
-            if piece[:1] == " " and _PLAIN(piece):
+            if piece[-1:] in self.marks and _LATIN(piece[-2:-1]):
+                marked.append(piece)
+                stems.add(piece[:-1])
+            else:
+                stems.add(piece)
+        for piece in stems.difference(known):
+            if _PLAIN(piece):
                 plain.append(piece)
             else:
                 known[piece] = self._alone(piece)
@@ -54,10 +66,14 @@ class Encoder:
             for piece, end in zip(part, at.tolist(), strict=True):
                 known[piece] = ids[begin:end]
                 begin = end
+        for piece in marked:
+            known[piece] = known[piece[:-1]] + self.marks[piece[-1]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = []
         for text in texts:
+            if self.folds:
+                text = text.encode().lower().decode()
             if "\0" in text or _DOUBLE.search(text):
                 cut.append(_CUTS.split(text))
             else:
