@@ -8,13 +8,14 @@ combine before the shuffle, so a text with a third of all rows is one row per ta
 Null text counts as empty. Empty texts equal one another. Rows without an id form
 groups like others but are never chosen while the group has an id; a group
 without any id keeps all its rows. Rows that repeat id and text share one verdict;
-``drop_exact_duplicates`` leaves one of them. An empty table gives an empty result.
+``drop_exact_duplicates`` leaves one of them, also where no row of the group has an
+id. An id may stand on several texts; each of them has its own verdict. An empty table gives an empty result.
 Other columns are ignored here and carried through by ``drop_exact_duplicates``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import stored, text_rows
@@ -53,11 +54,19 @@ def exact_duplicates(
 
 def drop_exact_duplicates(docs: DataFrame, keep: str = "smallest") -> DataFrame:
     """``docs`` (columns ``doc_id``, ``text`` and any others) without all but one row of each text."""
-    verdicts = exact_duplicates(docs, keep=keep)
-    dropped = verdicts.filter(~F.col("kept")).select("doc_id").distinct()
-    repeated = verdicts.filter("kept and group_size > 1").groupBy("doc_id").count().filter("count > 1")
-    left = docs.join(dropped, "doc_id", "left_anti")
-    twice = repeated.select("doc_id")
-    return left.join(twice, "doc_id", "left_anti").unionByName(
-        left.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    verdicts = exact_duplicates(docs, keep=keep).select(F.col("doc_id").alias("id"), F.col("text_sha256").alias("hash"), "kept")
+    return without(docs, verdicts, F.sha2(F.coalesce("text", F.lit("")), 256))
+
+
+def without(docs: DataFrame, verdicts: DataFrame, text_hash: Column) -> DataFrame:
+    """``docs`` without the rows that ``verdicts(id, hash, kept)``, one for each row, do not keep.
+
+    Rows are told apart by id and text together. Rows that repeat both share a verdict; one of them stays.
+    """
+    keys = verdicts.groupBy("id", "hash").agg(F.first("kept").alias("kept"), F.count(F.lit(1)).alias("rows"))
+    keys = stored(keys.filter("not kept or rows > 1"), "verdicts")
+    same = docs["doc_id"].cast("bigint").eqNullSafe(keys["id"]) & (text_hash == keys["hash"])
+    twice = docs.join(keys.filter("kept"), same, "left_semi").withColumn("_text_hash", text_hash)
+    return docs.join(keys, same, "left_anti").unionByName(
+        twice.dropDuplicates(["doc_id", "_text_hash"]).drop("_text_hash")
     )

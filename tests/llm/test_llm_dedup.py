@@ -178,3 +178,15 @@ def test_empty_tables(spark):
     assert exact.exact_duplicates(empty).count() == 0
     assert simhash.near_duplicates(empty).count() == 0
     assert substrings.repeated_strings(empty).count() == 0
+
+
+def test_drop_exact_with_repeated_and_null_ids(spark):
+    def left(rows):
+        frame = spark.createDataFrame(rows, "doc_id long, text string")
+        return sorted(map(tuple, exact.drop_exact_duplicates(frame).collect()), key=repr)
+
+    assert left([(3, "A"), (5, "A"), (5, "B")]) == [(3, "A"), (5, "B")]
+    assert left([(5, "A"), (5, "A"), (5, "B")]) == [(5, "A"), (5, "B")]
+    assert left([(5, "A"), (7, "A"), (5, "B"), (8, "B")]) == [(5, "A"), (5, "B")]
+    assert left([(None, "A"), (3, "A"), (None, "A")]) == [(3, "A")]
+    assert left([(None, "A"), (None, "A"), (None, None), (4, "")]) == [(4, ""), (None, "A")]
