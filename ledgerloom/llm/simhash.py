@@ -9,7 +9,9 @@ overflows them; a word whose 64 counters have all overflowed is abandoned.
 Keys: with ``tables=None`` the bits are cut into radius + 1 pieces and each piece
 is a key, so fingerprints within the radius always meet. Otherwise there are
 ``tables`` keys of ``key_bits`` bits drawn by a fixed rule; this suits wide
-fingerprints and large radii (the chance to miss a pair is given in the README).
+fingerprints and large radii. ``drop_near_duplicates`` takes such near pairs for
+candidates only and compares the shingle sets themselves; the README gives the
+chance that a pair is no candidate.
 
 Equal fingerprints are one node. A block larger than ``TILE`` is dealt into parts
 and every two parts meet in a task of their own, so no task holds a whole hot
@@ -17,12 +19,14 @@ block. A task emits only as many links as join its rows (a forest), never all pa
 
 Null text is empty text; a text without words has fingerprint zero and links like
 any other. Rows that repeat an id are reported each. Rows without an id get a
-fingerprint and no component. An empty table gives an empty result; other columns
+fingerprint and no component; ``drop_near_duplicates`` compares them too and keeps
+one only if its group has no id. An empty table gives an empty result; other columns
 are ignored.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -33,6 +37,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import slices, stored, text_rows
 from ledgerloom.llm.components import components
+from ledgerloom.llm.exact import without
 
 SEED = 42
 #: Rows of a block that are compared in one task; larger blocks are dealt into parts of about this size.
@@ -121,7 +126,7 @@ def _keyed(keys: list[np.ndarray]) -> Callable:
                 for place in places:
                     value = value << 1 | bits[:, place]
                 block = (value << 16 | number).astype(np.int64)
-                yield pa.record_batch([pa.array(block), batch.column(0), batch.column(1)], ["block", "id", "print"])
+                yield pa.record_batch([pa.array(block), *batch.columns], ["block", *batch.schema.names])
 
     return run
 
@@ -216,20 +221,61 @@ def forest(pairs: Iterator[tuple[np.ndarray, np.ndarray]], rows: int) -> tuple[n
     return moved, low[moved]
 
 
-def _compared(radius: int) -> Callable:
-    """Sorted rows of whole blocks to links; blocks are gathered until a window is full."""
+def _links(table: pa.Table, prints: np.ndarray, block: np.ndarray, radius: int) -> Iterator[pa.RecordBatch]:
+    ids = table["id"].to_numpy()
+    a, b = forest(near_pairs(prints, block, radius), len(ids))
+    yield pa.record_batch([pa.array(ids[a]), pa.array(ids[b])], ["a", "b"])
 
-    def links(window: list[pa.RecordBatch]) -> pa.RecordBatch:
+
+def _candidates(least: float, every: bool) -> Callable:
+    """Near pairs of different ``label`` whose set sizes ``n`` allow a similarity of ``least``.
+
+    Without ``every``, a block with more pairs than rows gives of the rest only each row's
+    first pair, and its part is named in a row without ``a``.
+    """
+
+    def run(table: pa.Table, prints: np.ndarray, block: np.ndarray, radius: int) -> Iterator[pa.RecordBatch]:
+        ids, n, label, part = (table[x].to_numpy() for x in ("id", "n", "label", "part"))
+        size = np.bincount(block)
+        spent = np.zeros(len(size), np.int64)
+        met = np.zeros(len(ids), bool)
+        cut = np.zeros(len(size), bool)
+        for left, right in near_pairs(prints, block, radius):
+            low, high = np.minimum(n[left], n[right]), np.maximum(n[left], n[right])
+            open_ = (label[left] != label[right]) & (low >= least * high - 1e-9)
+            left, right = left[open_], right[open_]
+            if not every and len(left):
+                number = block[left]
+                kept = spent[number] <= size[number]
+                spent += np.bincount(number, minlength=len(size))
+                cut[number[~kept]] = True
+                _, first = np.unique(right, return_index=True)
+                kept[first[~met[right[first]]]] = True
+                met[right] = True
+                left, right = left[kept], right[kept]
+            a, b = np.minimum(ids[left], ids[right]), np.maximum(ids[left], ids[right])
+            yield pa.record_batch(
+                [pa.array(a), pa.array(b), pa.nulls(len(a), pa.int64())], ["a", "b", "part"]
+            )
+        dense = np.unique(part[cut[block]])
+        none = pa.nulls(len(dense), pa.int64())
+        yield pa.record_batch([none, none, pa.array(dense)], ["a", "b", "part"])
+
+    return run
+
+
+def _compared(radius: int, found: Callable = _links) -> Callable:
+    """Sorted rows of whole blocks to what ``found`` makes of them; blocks are gathered until a window is full."""
+
+    def links(window: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(window)
         part = table["part"].to_numpy()
-        ids = table["id"].to_numpy()
         raw = b"".join(table["print"].to_pylist())
-        prints = np.frombuffer(raw, np.uint8).reshape(len(ids), -1)
+        prints = np.frombuffer(raw, np.uint8).reshape(len(part), -1)
         edges = np.flatnonzero(part[1:] != part[:-1]) + 1
         number = np.zeros(len(part), np.int64)
         number[edges] = 1
-        a, b = forest(near_pairs(prints, np.cumsum(number), radius), len(ids))
-        return pa.record_batch([pa.array(ids[a]), pa.array(ids[b])], ["a", "b"])
+        yield from found(table, prints, np.cumsum(number), radius)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -245,41 +291,47 @@ def _compared(radius: int) -> Callable:
             part = table["part"].to_numpy()
             cut = int(np.searchsorted(part, part[-1]))  # the last block may go on
             if cut:
-                yield links(table.slice(0, cut).to_batches())
+                yield from links(table.slice(0, cut).to_batches())
             held = table.slice(cut).to_batches()
             size = table.num_rows - cut
         if size:
-            yield links(held)
+            yield from links(held)
 
     return run
 
 
-def _dealt(parts: str = "parts") -> list:
+def _dealt(columns: list[str], parts: str = "parts") -> list:
     """Columns that deal a row to every tile of its block: tile (p, q) holds the parts p and q."""
     mine = F.pmod(F.xxhash64("id"), F.col(parts)).cast("int")
     tiles = F.transform(
         F.sequence(F.lit(0), F.col(parts).cast("int") - 1),
         lambda other: F.least(mine, other) * F.col(parts) + F.greatest(mine, other),
     )
-    return [F.col("block"), F.col("id"), F.col("print"), F.explode(tiles).alias("tile")]
+    return [F.col("block"), *columns, F.explode(tiles).alias("tile")]
 
 
-def link_prints(nodes: DataFrame, bits: int, radius: int, tables: int | None, key_bits: int) -> DataFrame:
-    """``a, b``: links that connect all fingerprints of ``nodes(id, print)`` as the full set of near pairs does."""
-    keys = key_bits_of(bits, radius, tables, key_bits)
-    keyed = nodes.mapInArrow(_keyed(keys), "block bigint, id bigint, print binary")
+def _tiles(nodes: DataFrame, keys: list[np.ndarray]) -> DataFrame:
+    """``part`` and the columns of ``nodes(id, print, ...)``: every two rows of a block share a part."""
+    keyed = nodes.mapInArrow(
+        _keyed(keys), "block bigint, " + ", ".join(f"{x.name} {x.dataType.simpleString()}" for x in nodes.schema)
+    )
     hot = (
         keyed.groupBy("block").count().filter(F.col("count") > TILE)
         .select(F.col("block").alias("hot"), F.ceil(F.col("count") / TILE).alias("parts"))
     )
     if len(keys) * 2 ** max(map(len, keys)) <= 1 << 18:
         hot = F.broadcast(hot)  # no more rows than keys exist
-    tiles = (
+    return (
         keyed.join(hot, keyed["block"] == hot["hot"], "left")
         .withColumn("parts", F.coalesce("parts", F.lit(1)))
-        .select(*_dealt())
-        .select(F.xxhash64("block", "tile").alias("part"), "id", "print")
+        .select(*_dealt(nodes.columns))
+        .select(F.xxhash64("block", "tile").alias("part"), *nodes.columns)
     )
+
+
+def link_prints(nodes: DataFrame, bits: int, radius: int, tables: int | None, key_bits: int) -> DataFrame:
+    """``a, b``: links that connect all fingerprints of ``nodes(id, print)`` as the full set of near pairs does."""
+    tiles = _tiles(nodes, key_bits_of(bits, radius, tables, key_bits))
     sorted_tiles = tiles.repartition("part").sortWithinPartitions("part")
     return sorted_tiles.mapInArrow(_compared(radius), "a bigint, b bigint")
 
@@ -297,8 +349,7 @@ def near_duplicates(
 ) -> DataFrame:
     """One row per document: ``doc_id, fingerprint, component_id``.
 
-    The defaults stand for a Jaccard similarity of the sets of five-word shingles
-    of 0.8 or more, as far as 256 bits tell (see the README).
+    Links are by distance alone; ``drop_near_duplicates`` compares the shingles.
     """
     prints = stored(fingerprints(docs, id_col, text_col, words, lanes, repeats), "prints")
     nodes = stored(prints.filter("id is not null").groupBy("print").agg(F.min("id").alias("node")), "nodes")
@@ -314,8 +365,124 @@ def near_duplicates(
     )
 
 
-def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with the row of the smallest ``doc_id`` of each group; rows without an id stay."""
-    verdicts = near_duplicates(docs, **options)
-    dropped = verdicts.filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti")
+def _sized(words: int, lanes: int) -> Callable:
+    """``id, text, hash`` to ``id, hash, print, node, n``; ``node`` is a digest of the set of ``n`` shingles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            sets = [np.unique(shingle_hashes(x, words)) for x in batch.column(1).to_pylist()]
+            nodes = b"".join(hashlib.blake2b(x.tobytes(), digest_size=8).digest() for x in sets)
+            yield pa.record_batch(
+                [
+                    batch.column(0), batch.column(2), pa.array([fingerprint(x, lanes) for x in sets], pa.binary()),
+                    pa.array(np.frombuffer(nodes, np.int64)), pa.array([len(x) for x in sets], pa.int64()),
+                ],
+                ["id", "hash", "print", "node", "n"],
+            )
+
+    return run
+
+
+def _shingle_sets(words: int) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            sets = [np.unique(shingle_hashes(x, words)).tobytes() for x in batch.column(1).to_pylist()]
+            yield pa.record_batch([batch.column(0), pa.array(sets, pa.binary())], ["node", "shingles"])
+
+    return run
+
+
+def _similar(least: float) -> Callable:
+    """``a, b, left, right`` to the ``a, b`` whose sets have a Jaccard similarity of ``least`` or more."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            good = []
+            for left, right in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                x, y = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                good.append(both >= least * (len(x) + len(y) - both) - 1e-9)
+            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    return run
+
+
+def similar_links(
+    rows: DataFrame, nodes: DataFrame, words: int, least: float, bits: int, radius: int, tables: int, key_bits: int
+) -> DataFrame:
+    """``a, b``: links between ``nodes(node, print, n, id, hash)`` that connect them as all similar candidates do.
+
+    ``rows`` are ``id, text, hash``. Blocks with more candidates than rows are compared twice:
+    their first pairs join what is alike, then all pairs between different groups are verified.
+    """
+    keys = key_bits_of(bits, radius, tables, key_bits)
+
+    def near(tiles: DataFrame, every: bool) -> DataFrame:
+        sorted_tiles = tiles.repartition("part").sortWithinPartitions("part", "id")
+        return stored(
+            sorted_tiles.mapInArrow(_compared(radius, _candidates(least, every)), "a bigint, b bigint, part bigint"),
+            "candidates",
+        )
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        pairs = stored(pairs.filter("a is not null").select("a", "b").distinct(), "pairs")
+        ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        named = nodes.join(ends, "node", "left_semi").select("node", F.col("id").alias("own"), F.col("hash").alias("own_hash"))
+        same = rows["id"].eqNullSafe(named["own"]) & (rows["hash"] == named["own_hash"])
+        sets = stored(
+            rows.join(named, same).select("node", "text")
+            .mapInArrow(_shingle_sets(words), "node bigint, shingles binary").dropDuplicates(["node"]),
+            "shingles",
+        )
+        left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
+        right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
+        full = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
+        return stored(full.mapInArrow(_similar(least), "a bigint, b bigint"), "similar")
+
+    plain = nodes.select(F.col("node").alias("id"), "print", "n", F.col("node").alias("label"))
+    found = near(_tiles(plain, keys), False)
+    links = verified(found)
+    dense = found.filter("part is not null").select("part").distinct()
+    if dense.isEmpty():
+        return links
+    labels = components(links).withColumnRenamed("node", "id")
+    grouped = stored(
+        plain.drop("label").join(labels, "id", "left")
+        .select("id", "print", "n", F.coalesce("component", "id").alias("label")),
+        "labelled",
+    )
+    return links.unionByName(verified(near(_tiles(grouped, keys).join(dense, "part", "left_semi"), True)))
+
+
+def drop_near_duplicates(
+    docs: DataFrame,
+    words: int = 5,
+    least: float = 0.8,
+    lanes: int = 4,
+    radius: int = 72,
+    tables: int = 96,
+    key_bits: int = 10,
+) -> DataFrame:
+    """``docs`` with one row of each group of near copies: that of the smallest ``doc_id``.
+
+    Near copies have a Jaccard similarity of their different shingles of ``least`` or
+    more, counted exactly; radius and tables only choose the pairs that are counted.
+    """
+    text_hash = F.md5(F.coalesce("text", F.lit("")))
+    rows = text_rows(docs, "doc_id", "text").withColumn("hash", F.md5("text"))
+    sized = rows.mapInArrow(_sized(words, lanes), "id bigint, hash string, print binary, node bigint, n bigint")
+    prints = stored(sized, "prints")
+    first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "hash"))
+    nodes = stored(
+        prints.groupBy("node").agg(F.first("print").alias("print"), F.first("n").alias("n"), first.alias("one"))
+        .select("node", "print", "n", "one.id", "one.hash"),
+        "nodes",
+    )
+    groups = components(similar_links(rows, nodes, words, least, 64 * lanes, radius, tables, key_bits))
+    named = nodes.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    kept = named.groupBy("component").agg(first.alias("kept"))
+    chosen = named.join(kept, "component").select("node", F.col("kept.id").alias("kept_id"), F.col("kept.hash").alias("kept_hash"))
+    verdicts = prints.join(chosen, "node").select(
+        "id", "hash", (F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("hash") == F.col("kept_hash"))).alias("kept")
+    )
+    return without(docs, verdicts, text_hash)

@@ -190,3 +190,48 @@ def test_drop_exact_with_repeated_and_null_ids(spark):
     assert left([(5, "A"), (7, "A"), (5, "B"), (8, "B")]) == [(5, "A"), (5, "B")]
     assert left([(None, "A"), (3, "A"), (None, "A")]) == [(3, "A")]
     assert left([(None, "A"), (None, "A"), (None, None), (4, "")]) == [(4, ""), (None, "A")]
+
+
+def _jaccard(a, b):
+    a, b = (set(simhash.shingle_hashes(x, 5).tolist()) for x in (a, b))
+    return len(a & b) / len(a | b)
+
+
+@pytest.mark.parametrize("tile", [4096, 16])
+def test_near_copies_are_those_of_similarity_08(spark, monkeypatch, tile):
+    monkeypatch.setattr(simhash, "TILE", tile)
+    draw = random.Random(8)
+    words = [f"word{i}" for i in range(3000)]
+    texts = []
+    for changes in (2, 3, 4, 5, 6, 8, 10, 12, 15) * 4:
+        base = [draw.choice(words) for _ in range(200)]
+        copy = list(base)
+        for at in draw.sample(range(0, 200, 6), changes):
+            copy[at] = "other" + draw.choice(words)
+        texts += [" ".join(base), " ".join(copy)]
+    base = [draw.choice(words) for _ in range(100)]
+    for _ in range(60):  # a dense block: all near one another, some over and some under the limit
+        copy = list(base)
+        for at in draw.sample(range(100), draw.choice([1, 2, 3])):
+            copy[at] = draw.choice(words)
+        texts.append(" ".join(copy))
+    label = list(range(len(texts)))
+    below = 0
+    for j, text in enumerate(texts):
+        for i in range(j):
+            similarity = _jaccard(texts[i], text)
+            below += 0.6 < similarity < 0.8
+            if similarity >= 0.8 and label[i] != label[j]:
+                low, high = sorted((label[i], label[j]))
+                label = [low if x == high else x for x in label]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert below > 10
+    assert sorted(r.doc_id for r in simhash.drop_near_duplicates(frame).collect()) == sorted(set(label))
+
+
+def test_drop_near_with_repeated_and_null_ids(spark):
+    a, b = (" ".join(f"{x}{i}" for i in range(100)) for x in "ab")
+    rows = [(3, a), (5, a + " end"), (5, b), (None, a.upper()), (None, "alone"), (5, b)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(map(tuple, simhash.drop_near_duplicates(frame).collect()), key=repr)
+    assert got == sorted([(3, a), (5, b), (None, "alone")], key=repr)
