@@ -9,8 +9,9 @@ from ledgerloom.llm import common, exact, language, mixing, packing, simhash
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a language (null, or no letter) go; learned from the labelled rows not held out."""
-    return language.accepted(docs, language.learn(docs.filter(~language.held_out())))
+    """Documents without a learned language go; learned from the labelled rows not held out, limits from those held out."""
+    model = language.learn(docs.filter(~language.held_out()))
+    return language.accepted(docs, model, least=language.least_known(docs.filter(language.held_out()), model))
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -182,11 +182,38 @@ def predict(docs: DataFrame, model: Filter, id_col: str = "doc_id", text_col: st
     )
 
 
-def accepted(docs: DataFrame, model: Filter, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs``, all columns, whose text has a language."""
+def least_known(docs: DataFrame, model: Filter, text_col: str = "text", lang_col: str = "lang") -> dict[str, float]:
+    """Per language, half of the share of known 4-grams that all but a thousandth of its rows in ``docs`` exceed.
+
+    Rows count whose label is predicted. A language without such rows has no entry.
+    """
+    rows = docs.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).filter("text is not null and lang is not null")
+    if not model.languages:
+        return {}
+    judged = rows.mapInArrow(_judged(model), "lang string, lang_pred string, score double, known double")
+    low = judged.filter("lang = lang_pred").groupBy("lang").agg(F.percentile_approx("known", 0.001, 10_000).alias("low"))
+    return {r["lang"]: r["low"] / 2 for r in low.collect()}  # no more rows than languages
+
+
+def accepted(
+    docs: DataFrame, model: Filter, text_col: str = "text", least: dict[str, float] | None = None
+) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text has a language.
+
+    With ``least`` (see ``least_known``) a text also needs a known 4-gram and at least that share of
+    them for its predicted language. If nothing was learned, every text with a letter stays.
+    """
+    if not model.languages:
+        return docs.filter(F.col(text_col).rlike(r"\p{L}"))
     rows = docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text"))
     fields = rows.select("row").schema.add("lang_pred", "string").add("score", "double").add("known", "double")
-    return rows.mapInArrow(_judged(model), fields).filter(F.col("lang_pred") != UNKNOWN).select("row.*")
+    good = F.col("lang_pred") != UNKNOWN
+    if least is not None:
+        limit = F.lit(0.0)
+        for name, share in least.items():
+            limit = F.when(F.col("lang_pred") == name, F.lit(share)).otherwise(limit)
+        good = good & (F.col("known") > 0) & (F.col("known") >= limit)
+    return rows.mapInArrow(_judged(model), fields).filter(good).select("row.*")
 
 
 def held_out(id_col: str = "doc_id") -> Column:

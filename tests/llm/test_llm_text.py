@@ -133,3 +133,17 @@ def test_language_of_odd_rows(spark, tongues, odd_docs):
     none = language.learn(tongues.limit(0))
     assert {r.lang_pred for r in language.predict(odd_docs, none).collect()} == {"und"}
     assert language.predict(odd_docs.limit(0), model).count() == 0
+
+
+def test_only_learned_languages_are_accepted(spark, tongues, odd_docs):
+    model = language.learn(tongues.filter(~language.held_out()))
+    least = language.least_known(tongues.filter(language.held_out()), model)
+    assert set(least) == {"en", "fr"} and all(0 < x < 1 for x in least.values())
+    assert language.accepted(tongues, model, least=least).count() == tongues.count()
+    rows = [(1, "zzq xkcd vvkp qwrtz jjkl"), (2, "вода и земля под небом"), (3, "nothing rather"), (4, None), (5, "123")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert [r.doc_id for r in language.accepted(frame, model, least=least).collect()] == [3]
+    none = language.learn(tongues.limit(0))
+    assert language.least_known(tongues, none) == {}
+    assert {r.doc_id for r in language.accepted(frame, none, least={}).collect()} == {1, 2, 3}
+    assert language.accepted(odd_docs, none, least={}).count() == 7
