@@ -7,7 +7,12 @@ nowhere. The windows of one anchor are consecutive; the bytes they cover are the
 anchor's neighbourhood. Neighbourhoods that are equal byte by byte are one class
 that counts its copies, so a passage in a third of all documents is one row.
 
-Different neighbourhoods of one anchor hash meet in a task, which sorts their
+An anchor hash with more than ``HOT`` different neighbourhoods is hot: its windows are
+keyed by anchor hash, distance of the anchor and a 128-bit hash of the window's bytes,
+and keys held by two windows or more are repeats. Equal windows have equal keys, and
+keys are counted before the shuffle, so no task holds a hot anchor.
+
+Different neighbourhoods of any other anchor hash meet in a task, which sorts their
 suffixes. Its string has 8-byte symbols that start at multiples of 8 bytes from
 the anchor. The suffix array is built by linear grouping: suffixes are grouped by
 their Lyndon prefix, the groups processed in descending order with pointers to the
@@ -42,6 +47,10 @@ SYMBOL = 8
 SHARED = WINDOW // SYMBOL - 1
 #: Symbols sorted at once, if whole groups allow.
 SORTED_AT_ONCE = 1 << 17
+#: Different neighbourhoods of an anchor hash that are sorted in one task; windows of more are counted.
+HOT = 4096
+#: Neighbourhoods whose windows are hashed at once.
+WINDOW_PIECES = 256
 #: Bytes of a text that are hashed at once; the next part overlaps by a window.
 PART = 1 << 20
 
@@ -265,6 +274,50 @@ def _neighbourhoods(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         )
 
 
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``hash, class, at, piece`` to ``hash, class, number, distance, digest`` of each window."""
+    for batch in slices(batches):
+        for start in range(0, batch.num_rows, WINDOW_PIECES):
+            hashes, classes, numbers, distances, digests = [], [], [], [], []
+            for value, kind, at, piece in zip(*(x.to_pylist() for x in batch.slice(start, WINDOW_PIECES).columns), strict=True):
+                count = (at & 255) + 1
+                hashes += [value] * count
+                classes += [kind] * count
+                numbers += range(count)
+                distances += [(at >> 8 & 255) - i for i in range(count)]
+                digests += [hashlib.blake2b(piece[i : i + WINDOW], digest_size=16).digest() for i in range(count)]
+            yield pa.record_batch(
+                [
+                    pa.array(hashes, pa.int64()), pa.array(classes, pa.int64()), pa.array(numbers, pa.int32()),
+                    pa.array(distances, pa.int32()), pa.array(digests, pa.binary()),
+                ],
+                ["hash", "class", "number", "distance", "digest"],
+            )
+
+
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``hash, class, numbers`` to ``hash, class, bits``."""
+    for batch in slices(batches):
+        bits = []
+        for numbers in batch.column(2).to_pylist():
+            found = np.zeros(max(numbers) + 1, bool)
+            found[numbers] = True
+            bits.append(np.packbits(found, bitorder="little").tobytes())
+        yield pa.record_batch([batch.column(0), batch.column(1), pa.array(bits, pa.binary())], ["hash", "class", "bits"])
+
+
+def _counted_windows(pieces: DataFrame) -> DataFrame:
+    """``hash, class, bits`` of the repeated windows of hot anchors, by counts of window keys."""
+    windows = pieces.mapInArrow(_windows, "hash bigint, class bigint, number int, distance int, digest binary")
+    key = ["hash", "distance", "digest"]
+    held = windows.groupBy(*key).count().filter("count > 1").select(*key)
+    return (
+        windows.join(held, key, "left_semi")
+        .groupBy("hash", "class").agg(F.collect_set("number").alias("numbers"))  # at most 137 a class
+        .mapInArrow(_packed, "hash bigint, class bigint, bits binary")
+    )
+
+
 def _covered(n: int, marks: list[dict] | None) -> np.ndarray:
     """First and last byte (excluded) of each run covered by repeated windows."""
     edges = np.zeros(n + 1, np.int32)
@@ -339,11 +392,18 @@ def repeated_strings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     pieces = rows.join(wanted, ["key", "mark"]).select("text", "wanted").mapInArrow(
         _neighbourhoods, "hash bigint, class bigint, at bigint, piece binary"
     )
-    bits = (
-        pieces.repartition("hash").sortWithinPartitions("hash")
-        .mapInArrow(_sorted_groups, "hash bigint, class bigint, bits binary")
-        .groupBy("hash", "class").agg(F.first("bits").alias("bits"))
+    hot = stored(classes.groupBy("hash").count().filter(F.col("count") > HOT).select("hash"), "hot-anchors")
+    sorted_pieces, counted = pieces, None
+    if not hot.isEmpty():
+        pieces = stored(pieces, "pieces")
+        sorted_pieces = pieces.join(hot, "hash", "left_anti")
+        counted = _counted_windows(pieces.join(hot, "hash", "left_semi"))
+    bits = sorted_pieces.repartition("hash").sortWithinPartitions("hash").mapInArrow(
+        _sorted_groups, "hash bigint, class bigint, bits binary"
     )
+    if counted is not None:
+        bits = bits.unionByName(counted)
+    bits = bits.groupBy("hash", "class").agg(F.first("bits").alias("bits"))
     verdicts = (
         classes.select("hash", "class", "whole").join(bits, ["hash", "class"], "left")
         .filter("whole or bits is not null")

@@ -235,3 +235,19 @@ def test_drop_near_with_repeated_and_null_ids(spark):
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     got = sorted(map(tuple, simhash.drop_near_duplicates(frame).collect()), key=repr)
     assert got == sorted([(3, a), (5, b), (None, "alone")], key=repr)
+
+
+def test_hot_anchors_are_counted_exactly(spark, odd_docs, monkeypatch):
+    largest = []
+    plain = substrings._counted_windows
+    monkeypatch.setattr(substrings, "_counted_windows", lambda pieces: largest.append(1) or plain(pieces))
+    monkeypatch.setattr(substrings, "HOT", 3)
+    draw = random.Random(9)
+    noise = lambda n: "".join(draw.choice("abcdefghij é") for _ in range(n))
+    footer, passage = noise(120), noise(400)
+    texts = [noise(150) + footer + noise(150) for _ in range(20)]
+    texts += [noise(150) + passage + noise(150) for _ in range(12)] + [texts[0][20:] + "x", "z" * 700, noise(500)]
+    rows = list(enumerate(texts))
+    got = substrings.repeated_strings(spark.createDataFrame(rows, "doc_id long, text string")).drop("spans").collect()
+    want = [(d, *x) for (d, _), x in zip(rows, _without_repeats([t.encode() for t in texts]), strict=True)]
+    assert sorted(map(tuple, got)) == want and largest
