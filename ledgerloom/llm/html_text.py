@@ -1,7 +1,9 @@
 """Main text of web pages by consensus of each host's pages.
 
 Every page's containers are scored: characters of their own text outside links and
-boilerplate, and half of their children's score. The best container votes for its
+boilerplate, and half of their children's score. From the best container the page is
+climbed to the nearest article or main around it or, without one, while the parent
+below body has text of its own outside links. The container reached votes for its
 path, the chain of tags and generalised classes from the root. Votes are summed
 per host in Spark, and every page of a host is extracted again at the winning
 path; a page without that path, or without a host, uses its own best container.
@@ -173,7 +175,7 @@ class Page:
         self.root = root
 
     def best(self) -> Node:
-        """The container with the highest score; the whole page if there is none."""
+        """The container with the highest score, or that around it with the rest; the whole page if there is none."""
         for node in reversed(self.containers):
             node.score += node.own * (1.5 if node.tag == "article" else 1)
             parent = node.parent
@@ -181,7 +183,21 @@ class Page:
                 parent = parent.parent
             if parent:
                 parent.score += node.score / 2
-        return max(self.containers, key=lambda n: n.score, default=self.root)
+        return self._whole(max(self.containers, key=lambda n: n.score, default=self.root))
+
+    def _whole(self, best: Node) -> Node:
+        node: Node | None = best
+        while node:
+            if node.tag in ("article", "main"):
+                return node
+            node = node.parent
+        while True:
+            parent = best.parent
+            while parent and parent.tag not in CONTAINERS:
+                parent = parent.parent
+            if parent is None or parent.tag == "body" or not parent.own:
+                return best
+            best = parent
 
     def text(self, path: str | None) -> str:
         """Text of the outermost containers at ``path``, or of the best container."""

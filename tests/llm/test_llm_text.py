@@ -147,3 +147,13 @@ def test_only_learned_languages_are_accepted(spark, tongues, odd_docs):
     assert language.least_known(tongues, none) == {}
     assert {r.doc_id for r in language.accepted(frame, none, least={}).collect()} == {1, 2, 3}
     assert language.accepted(odd_docs, none, least={}).count() == 7
+
+
+def test_text_around_the_best_container_stays():
+    body = "<p>" + "many words in here, " * 30 + "</p>"
+    want = "Title\n\nLead\n\n" + " ".join(["many words in here,"] * 30)
+    for start, end in (("<article>", "</article>"), ("<main>", "</main>"), ("<div class=post>", "</div>")):
+        page = html_text.Page(f"<body><div class=nav>n</div>{start}<h1>Title</h1><p>Lead</p><div class=body>{body}</div>{end}</body>")
+        assert page.text(page.best().path) == want
+    page = html_text.Page(f"<body><article><section class=a>{body}</section><section class=b><p>More</p></section></article></body>")
+    assert page.text(None).endswith("\n\nMore")
