@@ -34,6 +34,8 @@ from ledgerloom.specs import LOADED_AT, SILVER_LOADED_AT
 
 PROCESSOR = "silver"
 ENRICHED = "silver_enriched"
+#: The folder of orders without a date.
+NO_DATE = "__HIVE_DEFAULT_PARTITION__"
 
 
 def silver_core(orders: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
@@ -98,7 +100,7 @@ def enrich_left(
     The result has one row per order already: the union keeps the latest
     version of each order while ``updated_at`` is still there, and every table
     joined to it is one row per key. Prices have one row per product and day.
-    With ``days`` only orders of these ``order_date`` values are enriched.
+    With ``days`` only orders of these ``order_date`` values (NULL too) are enriched.
     Deduplicating again after the joins would
     shuffle the widest rows for nothing.
     """
@@ -115,7 +117,8 @@ def enrich_left(
         drop_lineage(sources["api_pricing"]), ["product_id"], "price_date", tie_break=()
     )
     if days is not None:
-        merged["all_orders"] = merged["all_orders"].join(days, "order_date", "left_semi")
+        dated = merged["all_orders"]
+        merged["all_orders"] = dated.join(days, dated["order_date"].eqNullSafe(days["order_date"]), "left_semi")
     joined = join_chain(merged, ENRICH_JOINS)
     derived = add_customer_age(derive(joined, DERIVED_COLUMNS), as_of)
     return derived.drop(*DROPPED_COLUMNS)
@@ -136,7 +139,7 @@ def run_silver_enriched(
     All joins keep every order, so the output is empty only if the order
     sources are, which is cheap to see. An incremental run replaces the days of
     the orders loaded after the stored mark: those they have now and those they
-    had before. Only orders are looked at: a later change of a customer, product
+    had before. Orders without a date are a day of their own. Only orders are looked at: a later change of a customer, product
     or price alone rewrites no day. The mark is stored last.
     """
     orders = [sources[t] for t in UNIONS["all_orders"].tables if t in sources]
@@ -167,10 +170,7 @@ def _replace_days(spark, sources, orders, target, as_of, fmt, marks) -> bool:
     if before is not None:
         days = days.union(before.join(fresh, "order_id", "left_semi").select("order_date"))
     # As many rows as days were touched; read before their folders are replaced.
-    touched = [r.order_date for r in days.where("order_date is not null").distinct().collect()]
-    if not touched:
-        store_mark(spark, marks, ENRICHED, upto)
-        return False
+    touched = [r.order_date for r in days.distinct().collect()]
     chosen = spark.createDataFrame([(d,) for d in touched], "order_date date")
     write_table(
         _stamped(enrich_left(sources, as_of=as_of, days=chosen)),
@@ -184,8 +184,8 @@ def _replace_days(spark, sources, orders, target, as_of, fmt, marks) -> bool:
             [_timed(df).select("order_id", "order_date", "updated_at", "total_amount") for df in orders],
             UNIONS["all_orders"].key, UNIONS["all_orders"].order_by, UNIONS["all_orders"].tie_break,
         )
-        for row in chosen.join(now, "order_date", "left_anti").collect():
-            discard(spark, f"{target}/order_date={row.order_date}")
+        for row in chosen.join(now, chosen["order_date"].eqNullSafe(now["order_date"]), "left_anti").collect():
+            discard(spark, f"{target}/order_date={row.order_date or NO_DATE}")
     store_mark(spark, marks, ENRICHED, upto)
     return True
 

@@ -341,3 +341,39 @@ def test_incremental_enriched_silver_equals_full(spark, tmp_path, rows):
     assert rows(read(grown).select(*sorted(read(grown).columns))) == rows(read(whole).select(*sorted(read(grown).columns)))
     assert glob.glob(f"{grown}/order_date=2024-01-03/*.parquet") == untouched
     assert not glob.glob(f"{grown}/order_date=2024-01-01/*.parquet")
+
+
+def test_incremental_enriched_silver_keeps_orders_without_a_date(spark, tmp_path, rows):
+    from datetime import date
+
+    people = spark.createDataFrame([(0, "a")], "customer_id int, customer_name string").withColumn(
+        "date_of_birth", F.lit(None).cast("date"))
+    goods = spark.createDataFrame([(0, "x")], "product_id int, product_name string")
+    prices = spark.createDataFrame([(0, "2024-01-01", 5)], "product_id int, price_date string, final_price int")
+
+    def run(orders, target, **options):
+        names = "order_id int, customer_id int, product_id int, order_date date, total_amount int, bronze_loaded_at timestamp"
+        frame = spark.createDataFrame(orders, names).withColumns({
+            "quantity": F.lit(1), "unit_price": F.lit(1).cast("decimal(10,2)"),
+            "discount_amount": F.lit(0).cast("decimal(10,2)"), "status": F.lit("open")})
+        sources = {"orders": latest_per_key(frame, ["order_id"], "bronze_loaded_at"), "customers": people,
+                   "products": goods, "api_pricing": prices}
+        assert run_silver_enriched(spark, sources, target, as_of="2024-01-01", **options)
+
+    day, other = date(2024, 1, 1), date(2024, 1, 2)
+    loads = [
+        [(0, 0, 0, day, 1, datetime(2024, 2, 1)), (1, 0, 0, None, 2, datetime(2024, 2, 1)), (2, 0, 0, other, 3, datetime(2024, 2, 1))],
+        [(0, 0, 0, None, 4, datetime(2024, 2, 2))],  # its day is left
+        [(0, 0, 0, other, 5, datetime(2024, 2, 3)), (1, 0, 0, other, 6, datetime(2024, 2, 3))],  # none without a date is left
+    ]
+    grown, orders = str(tmp_path / "grown"), []
+    options = {"load_mode": "incremental", "marks": str(tmp_path / "marks")}
+    read = lambda path: spark.read.parquet(path).drop("silver_loaded_at")
+    for number, load in enumerate(loads):
+        orders += load
+        whole = str(tmp_path / f"whole{number}")
+        run(orders, grown, **options)
+        run(orders, whole)
+        names = sorted(read(whole).columns)
+        assert rows(read(grown).select(*names)) == rows(read(whole).select(*names))
+    assert not glob.glob(f"{grown}/order_date=__HIVE*/*.parquet")
