@@ -4,24 +4,26 @@ Which strings can repeat is found first. In every window of ``WINDOW`` bytes the
 smallest hash of a ``SEED_BYTES``-byte string is its anchor; equal windows have
 equal anchors at equal places, so a window whose anchor's hash occurs once repeats
 nowhere. The windows of one anchor are consecutive; the bytes they cover are the
-anchor's neighbourhood. Neighbourhoods that are equal byte by byte are one class
-that counts its copies, so a passage in a third of all documents is one row.
+anchor's neighbourhood. Neighbourhoods with equal hashes (64 bits of the anchor and 64
+of all bytes) are one class that counts its copies, so a passage in a third of all
+documents is one row, and its strings are repeats by these hashes: no array sees them.
 
 An anchor hash with more than ``HOT`` different neighbourhoods is hot: its windows are
 keyed by anchor hash, distance of the anchor and a 128-bit hash of the window's bytes,
 and keys held by two windows or more are repeats. Equal windows have equal keys, and
 keys are counted before the shuffle, so no task holds a hot anchor.
 
-Different neighbourhoods of any other anchor hash meet in a task, which sorts their
-suffixes. Its string has 8-byte symbols that start at multiples of 8 bytes from
+What is left, different neighbourhoods of any other anchor hash, meets in a task, which
+sorts their suffixes and compares bytes. Its string has 8-byte symbols that start at multiples of 8 bytes from
 the anchor. The suffix array is built by linear grouping: suffixes are grouped by
 their Lyndon prefix, the groups processed in descending order with pointers to the
 previous smaller suffix, and each group's order is then emitted from the smaller
 suffixes; nothing is renamed or solved recursively. Suffixes with the same first
 24 symbols are neighbours there. A window that starts d bytes before a symbol
 equals another if both have these 192 bytes and the 8 bytes around them (d before
-and 8 - d after) in common, so all eight phases are decided exactly.
+and 8 - d after) in common, so all eight phases are decided by bytes.
 
+Rows are told apart by id and 64 bits of their text, those without an id by 128 bits of it.
 Null text is empty. A window is a repeat wherever it starts again, in the same
 document too, overlapping or not. Rows that repeat id and text are documents of
 their own, and so repeat each other. Rows without an id are treated like others.
@@ -116,7 +118,7 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 parts[0].append(value)
                 parts[1].append(np.frombuffer(b"".join(digest), np.int64))
                 parts[2].append(np.full(len(value), key))
-                parts[3].append(np.full(len(value), mark, np.int32))
+                parts[3].append(np.full(len(value), mark))
                 parts[4].append(first << 16 | place - first << 8 | last - first)
         if parts[0]:
             yield pa.record_batch(
@@ -219,6 +221,8 @@ def repeated_windows(pieces: list[bytes], distances: list[int], windows: list[in
     for before in range(SYMBOL):
         window = chosen * SYMBOL - before - first[owner[chosen]]
         valid = np.flatnonzero((window >= 0) & (window < count[owner[chosen]]))
+        if not len(valid):
+            continue
         at = chosen[valid]
         rest = values[at + SHARED] >> np.uint64(8 * before)
         if before:
@@ -360,19 +364,24 @@ def _results(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _marked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``key, mark, text, doc_id``; key and mark tell rows of different texts apart."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    number = F.col(id_col).cast("bigint")
+    return docs.select(
+        F.coalesce(number, F.xxhash64(text)).alias("key"), F.xxhash64(number.isNull(), text).alias("mark"),
+        text.alias("text"), number.alias("doc_id"),
+    )
+
+
 def repeated_strings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans``.
 
     ``spans`` are the removed runs as byte offsets, the last one excluded.
     """
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    number = F.col(id_col).cast("bigint")
-    rows = docs.select(
-        F.coalesce(number, F.lit(-(1 << 63))).alias("key"), F.hash(text, number.isNull()).alias("mark"),
-        text.alias("text"), number.alias("doc_id"),
-    )
+    rows = _marked(docs, id_col, text_col)
     found = rows.select("key", "mark", "text").mapInArrow(
-        _anchor_rows, "hash bigint, class bigint, key bigint, mark int, at bigint"
+        _anchor_rows, "hash bigint, class bigint, key bigint, mark bigint, at bigint"
     )
     shared = found.groupBy("hash").count().filter("count > 1").select("hash")
     kept = stored(found.join(shared, "hash"), "anchors")

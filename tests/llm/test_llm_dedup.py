@@ -251,3 +251,37 @@ def test_hot_anchors_are_counted_exactly(spark, odd_docs, monkeypatch):
     got = substrings.repeated_strings(spark.createDataFrame(rows, "doc_id long, text string")).drop("spans").collect()
     want = [(d, *x) for (d, _), x in zip(rows, _without_repeats([t.encode() for t in texts]), strict=True)]
     assert sorted(map(tuple, got)) == want and largest
+
+
+def test_few_windows_in_every_phase():
+    """One to three windows of each neighbourhood, at every distance of the anchor modulo 8."""
+    draw = random.Random(11)
+    base = bytes(draw.randrange(97, 123) for _ in range(204))
+    for count in (1, 2, 3):
+        for distance in range(8, 24):
+            pieces = [base[: 199 + count], bytes(reversed(base))[: 199 + count], base[1 : 200 + count]][: max(1, count)]
+            distances = [distance, distance, distance - 1][: len(pieces)]
+            got = substrings.repeated_windows(pieces, distances, [count] * len(pieces))
+            for own, (piece, found) in enumerate(zip(pieces, got, strict=True)):
+                others = [(d, x) for i, (d, x) in enumerate(zip(distances, pieces, strict=True)) if i != own]
+                # a window of the same distance from the anchor with the same bytes elsewhere
+                want = [
+                    any(0 <= d - (distances[own] - w) < count and x[d - (distances[own] - w) :][:200] == piece[w : w + 200] for d, x in others)
+                    for w in range(count)
+                ]
+                assert found.tolist() == want
+    for _ in range(200):
+        pieces = [bytes(draw.choices(b"ab", k=199 + draw.randint(1, 6))) for _ in range(draw.randint(2, 4))]
+        substrings.repeated_windows(pieces, [draw.randrange(137) for _ in pieces], [len(x) - 199 for x in pieces])
+
+
+def test_null_id_rows_do_not_share_marks(spark):
+    """Hashes of 32 bits collide among so many texts; those that tell rows apart do not."""
+    texts = spark.range(500_000).selectExpr("cast(null as bigint) as doc_id", "concat('text ', id) as text")
+    assert texts.selectExpr("count(distinct hash(text, true)) as n").first().n < 500_000
+    marked = substrings._marked(texts, "doc_id", "text")
+    assert marked.select("key", "mark").distinct().count() == 500_000
+    a, b = ("".join(random.Random(i).choices("abcdefghij", k=220)) for i in (1, 2))
+    rows = [(None, a), (None, b), (4, "x" + b)]
+    got = substrings.repeated_strings(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id is None, r.n_bytes, r.n_removed) for r in got) == [(False, 221, 220), (True, 220, 0), (True, 220, 220)]
