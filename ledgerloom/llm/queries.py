@@ -8,7 +8,20 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import common, exact, html_text, language, mixing, packing, pii, simhash, substrings, token_files, vectors
+from ledgerloom.llm import (
+    common,
+    exact,
+    html_text,
+    language,
+    mixing,
+    packing,
+    pii,
+    search,
+    simhash,
+    substrings,
+    token_files,
+    vectors,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -97,3 +110,35 @@ def op7_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_spherical_cap_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All vectors, links at a cosine of 0.93 or more between equal labels."""
     return vectors.near_duplicates(_table(spark, sf_dir, "embeddings"), least=0.93)
+
+
+@_query
+def op13_pair_bound_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents of each benchmark item."""
+    return search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), top=20)
+
+
+_TERMS = (
+    "unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term"
+)
+ORACLE_SQL["op13_pair_bound_search"] = f"""
+WITH words AS (SELECT doc_id, {_TERMS} FROM documents),
+     held AS (SELECT doc_id, term, count(*) AS tf FROM words GROUP BY ALL),
+     sizes AS (SELECT doc_id, count(*) AS n FROM words GROUP BY ALL),
+     corpus AS (SELECT count(*) AS docs, cast(sum(n) AS bigint) AS total FROM sizes),
+     weights AS (
+        SELECT term, cast(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS bigint) AS w
+        FROM held, corpus GROUP BY term, docs),
+     lengths AS (SELECT doc_id, 100 - 25 + (25 * n * docs) // total AS m FROM sizes, corpus),
+     asked AS (
+        SELECT item_id, term, count(*) AS times
+        FROM (SELECT item_id, {_TERMS} FROM benchmark) GROUP BY ALL),
+     scores AS (
+        SELECT item_id, doc_id, cast(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS bigint) AS score
+        FROM asked JOIN held USING (term) JOIN weights USING (term) JOIN lengths USING (doc_id) GROUP BY ALL)
+SELECT item_id, cast(row_number() OVER best AS integer) AS rank, doc_id, score
+FROM scores WHERE score > 0
+WINDOW best AS (PARTITION BY item_id ORDER BY score DESC, doc_id)
+QUALIFY rank <= 20
+"""
