@@ -21,6 +21,7 @@ from ledgerloom.llm import (
     substrings,
     token_files,
     vectors,
+    whitening,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -112,6 +113,12 @@ def op9_spherical_cap_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(_table(spark, sf_dir, "embeddings"), least=0.93)
 
 
+@_query
+def op12_contour_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors on the 16 strongest components."""
+    return whitening.whitened(_table(spark, sf_dir, "embeddings"), wanted=16)
+
+
 @_query
 def op13_pair_bound_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 best documents of each benchmark item."""

@@ -14,6 +14,9 @@ RESULTS = {
     "op7_temperature_mixing": {"doc_id", "source", "n_tokens", "exponent", "weight", "position", "copies"},
     "op8_orc_token_files": {"doc_id", "start", "n_tokens", "ids_crc32"},
     "op9_spherical_cap_near_dedup": {"vec_id", "n_links", "component_id", "kept"},
+    "op12_contour_whitening": {
+        "vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"
+    },
     "op13_pair_bound_search": {"item_id", "rank", "doc_id", "score"},
     "op10_best_fit_packing": {"doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"},
 }
@@ -23,9 +26,11 @@ RESULTS = {
 def test_query(name, spark, sf_dir):
     frame = queries.QUERIES[name](spark, sf_dir)
     assert set(frame.columns) == RESULTS[name]
-    table = {"op3": "pages", "op9": "embeddings"}.get(name.split("_")[0], "documents")
+    table = {"op3": "pages", "op9": "embeddings", "op12": "embeddings"}.get(name.split("_")[0], "documents")
     rows = spark.read.parquet(f"{sf_dir}/{table}.parquet").count()
-    if name.startswith("op13_"):
+    if name.startswith("op12_"):
+        assert frame.count() == 16 * rows
+    elif name.startswith("op13_"):
         assert 0 < frame.count() <= 20 * spark.read.parquet(f"{sf_dir}/benchmark.parquet").count()
     else:
         assert frame.count() >= rows if name.startswith("op10_") else frame.count() == rows
