@@ -20,6 +20,7 @@ from ledgerloom.llm import (
     simhash,
     substrings,
     token_files,
+    toxicity,
     vectors,
     whitening,
 )
@@ -113,6 +114,14 @@ def op9_spherical_cap_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_duplicates(_table(spark, sf_dir, "embeddings"), least=0.93)
 
 
+@_query
+def op11_convolutional_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fitted on labels that are not held out, languages learned from the same rows; every row is scored."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    languages = language.learn(docs.filter(~toxicity.held_out()))
+    return toxicity.score(docs, toxicity.learn(docs, labels, languages), languages)
+
+
 @_query
 def op12_contour_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All vectors on the 16 strongest components."""

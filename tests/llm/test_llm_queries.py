@@ -14,6 +14,7 @@ RESULTS = {
     "op7_temperature_mixing": {"doc_id", "source", "n_tokens", "exponent", "weight", "position", "copies"},
     "op8_orc_token_files": {"doc_id", "start", "n_tokens", "ids_crc32"},
     "op9_spherical_cap_near_dedup": {"vec_id", "n_links", "component_id", "kept"},
+    "op11_convolutional_toxicity": {"doc_id", "held_out", "score", "predicted", "lang_pred"},
     "op12_contour_whitening": {
         "vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"
     },
