@@ -310,54 +310,76 @@ DIM_PRODUCTS_WIDE = DimensionSpec(
 )
 CALENDAR_RANGE = ("2023-01-01", "2027-12-31")
 
-# The five marts.
+# The daily revenue of the small star schema.
+AGG_DAILY_REVENUE = MartSpec(
+    grain=("order_date",),
+    metrics={
+        "total_orders": "count(order_id)",
+        "total_revenue": "sum(total_amount)",
+        "total_revenue_with_gst": "sum(grand_total)",
+        "avg_order_value": "avg(total_amount)",
+    },
+)
+
+#: Marts by month are kept in folders by month, so that a month can be replaced.
+MART_MONTHS = ("order_year", "order_month")
+
+# The five marts. Enriched orders are one row per order, so rows are counted.
 MARTS = {
     "daily_revenue": MartSpec(
         grain=("order_date", "category"),
         metrics={
             "total_revenue": "sum(net_amount)",
-            "order_count": "count(distinct order_id)",
+            "order_count": "count(order_id)",
             "avg_order_value": "avg(net_amount)",
             "total_quantity": "sum(quantity)",
             "total_discount": "sum(discount_amount)",
         },
         partition_by=("order_date",),
+        unique_by="order_id",
     ),
     "customer_lifetime": MartSpec(
         grain=("customer_id",),
         metrics={
             "lifetime_value": "sum(net_amount)",
-            "order_count": "count(distinct order_id)",
+            "order_count": "count(order_id)",
             "first_order": "min(order_date)",
             "last_order": "max(order_date)",
             "avg_order_value": "avg(net_amount)",
             "distinct_products": "count(distinct product_id)",
         },
+        unique_by="order_id",
     ),
     "category_performance": MartSpec(
         grain=("category", "order_month", "order_year"),
         metrics={
             "revenue": "sum(net_amount)",
             "units_sold": "sum(quantity)",
-            "order_count": "count(distinct order_id)",
+            "order_count": "count(order_id)",
             "unique_customers": "count(distinct customer_id)",
             "avg_selling_price": "avg(unit_price)",
         },
+        partition_by=MART_MONTHS,
+        unique_by="order_id",
     ),
     "city_trends": MartSpec(
         grain=("shipping_city", "shipping_state", "order_month", "order_year"),
         metrics={
             "revenue": "sum(net_amount)",
-            "order_count": "count(distinct order_id)",
+            "order_count": "count(order_id)",
             "unique_customers": "count(distinct customer_id)",
         },
+        partition_by=MART_MONTHS,
+        unique_by="order_id",
     ),
     "payment_analysis": MartSpec(
         grain=("payment_method", "order_month", "order_year"),
         metrics={
             "revenue": "sum(net_amount)",
-            "order_count": "count(distinct order_id)",
+            "order_count": "count(order_id)",
             "avg_order_value": "avg(net_amount)",
         },
+        partition_by=MART_MONTHS,
+        unique_by="order_id",
     ),
 }

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +10,7 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.calendar import day_attributes
 from ledgerloom.functions.money import exact_mean
 from ledgerloom.operators.dedup import dedup_by_key, distinct_values, latest_per_key
-from ledgerloom.specs import DimensionSpec
+from ledgerloom.specs import DimensionSpec, MartSpec
 
 
 def fact(silver: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -48,20 +47,6 @@ def calendar(spark: SparkSession, start: str, end: str) -> DataFrame:
     return calendar_between(bounds, "start", "end")
 
 
-def daily_revenue(facts: DataFrame) -> DataFrame:
-    """Orders and revenue per day, in date order."""
-    return (
-        facts.groupBy("order_date")
-        .agg(
-            F.count("order_id").alias("total_orders"),
-            F.sum("total_amount").alias("total_revenue"),
-            F.sum("grand_total").alias("total_revenue_with_gst"),
-            F.avg("total_amount").alias("avg_order_value"),
-        )
-        .orderBy("order_date")
-    )
-
-
 def city_orders(orders: DataFrame) -> DataFrame:
     """Orders, customers and revenue per customer city, highest revenue first.
 
@@ -107,20 +92,11 @@ def _order_sums(orders: DataFrame, *keys: str) -> DataFrame:
     )
 
 
-def build_mart(
-    df: DataFrame,
-    grain: Sequence[str],
-    metrics: Mapping[str, str],
-    *,
-    unique_key: str | None = None,
-) -> DataFrame:
-    """Aggregate to a grain with ``{metric name: SQL aggregate expression}``.
+def build_mart(df: DataFrame, spec: MartSpec) -> DataFrame:
+    """The declared measures at the declared grain."""
+    return df.groupBy(*spec.grain).agg(*[F.expr(e).alias(name) for name, e in spec.metrics.items()])
 
-    Where rows are known to be unique by ``unique_key``, its distinct count is
-    its count. That spares the shuffle of every single key which a distinct
-    count needs; the aggregates then combine before the shuffle.
-    """
-    if unique_key is not None:
-        distinct = re.compile(rf"count\(\s*distinct\s+{re.escape(unique_key)}\s*\)", re.IGNORECASE)
-        metrics = {n: distinct.sub(f"count({unique_key})", e) for n, e in metrics.items()}
-    return df.groupBy(*grain).agg(*[F.expr(e).alias(name) for name, e in metrics.items()])
+
+def repeated_keys(df: DataFrame, key: str) -> DataFrame:
+    """Keys that more than one row has; NULL is no key."""
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("rows")).where((F.col("rows") > 1) & F.col(key).isNotNull())

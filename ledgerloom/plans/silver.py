@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.catalog import DERIVED_COLUMNS, DROPPED_COLUMNS, ENRICH_JOINS, UNIONS
+from ledgerloom.catalog import CHANGE_TIMES, DERIVED_COLUMNS, DROPPED_COLUMNS, ENRICH_JOINS, UNIONS
 from ledgerloom.operators.dedup import latest_per_key, union_latest, union_sources
 from ledgerloom.operators.enrich import (
     active_only,
@@ -21,21 +21,23 @@ from ledgerloom.operators.enrich import (
 )
 from ledgerloom.operators.incremental import (
     batch_label,
+    changed_keys,
     next_mark,
     read_mark,
+    row_versions,
     since,
-    store_mark,
+    store_marks,
 )
 from ledgerloom.operators.joins import join_chain
-from ledgerloom.sources.files import read_if_exists
-from ledgerloom.sources.scratch import discard
-from ledgerloom.sources.sinks import write_table
-from ledgerloom.specs import LOADED_AT, SILVER_LOADED_AT
+from ledgerloom.sources.files import read_if_exists, read_table
+from ledgerloom.sources.scratch import discard, names_in, scratch_path
+from ledgerloom.sources.sinks import fold_files, metric, replace_partitions, write_table
+from ledgerloom.specs import LOADED_AT, OP_COLUMN, SILVER_LOADED_AT, SOURCE_FILE
 
 PROCESSOR = "silver"
 ENRICHED = "silver_enriched"
-#: The folder of orders without a date.
-NO_DATE = "__HIVE_DEFAULT_PARTITION__"
+#: Marks an order that earlier batches have and that silver no longer has.
+WITHDRAWN = "silver_withdrawn"
 
 
 def silver_core(orders: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
@@ -68,42 +70,100 @@ def run_silver(
     The tables have one row per key. An order that is loaded anew comes again in
     a later batch; ``silver_table`` reads its latest version.
 
-    Incremental runs take the orders loaded after the stored mark. Each writes
-    a ``load_batch`` folder named by the mark it started from and stores the
-    new mark last, so a run that failed half-way is simply repeated. Only
-    orders are filtered: a later change of a customer or product does not
-    rewrite earlier batches.
+    Incremental runs take the orders loaded after the stored mark, and those
+    of customers and products that came, went or changed since the last run.
+    Orders that no longer belong to silver, because they are cancelled by now or their
+    customer or product is not active any more, come as withdrawals: rows with an id and
+    ``WITHDRAWN`` only. Each run writes a ``load_batch`` folder named by the run it follows and
+    stores the new marks last, so a run that failed half-way is simply repeated.
     """
     if load_mode != "incremental":
         return write_table(_stamped(silver_core(orders, customers, products)), target, fmt=fmt)
     mark = read_mark(spark, marks, PROCESSOR)
     upto = _loaded_upto(orders, mark)
-    if upto is None:
+    dimensions = {"customers": ("customer_id", customers), "products": ("product_id", products)}
+    seen = SeenRows(spark, marks, PROCESSOR, dimensions)
+    changed = seen.changed() if mark is not None else {}
+    if upto is None and not changed:
+        seen.forget()
         return False
-    fresh = since(orders, LOADED_AT, mark, upto)
+    touched = orders if mark is None else _touched(orders, mark, upto, changed)
+    if changed:  # found by joins with all orders; read twice
+        path = scratch_path(spark, "touched-orders")
+        touched.write.parquet(path)
+        touched = spark.read.schema(touched.schema).parquet(path)
+    rows = silver_core(touched, customers, products).withColumn(WITHDRAWN, F.lit(False))
+    if mark is not None:
+        gone = touched.select("order_id").join(rows.select("order_id"), "order_id", "left_anti")
+        rows = rows.unionByName(gone.withColumn(WITHDRAWN, F.lit(True)), allowMissingColumns=True)
     write_table(
-        _stamped(silver_core(fresh, customers, products)),
-        f"{target}/load_batch={batch_label(mark)}",
-        fmt=fmt,
-        known_non_empty=True,
+        _stamped(rows), f"{target}/load_batch={batch_label(seen.last or mark)}", fmt=fmt, known_non_empty=True
     )
-    store_mark(spark, marks, PROCESSOR, upto)
+    store_marks(spark, marks, {PROCESSOR: upto or mark, seen.name: seen.now})
+    seen.keep()
+    if changed:
+        discard(spark, path)
     return True
 
 
-def enrich_left(
-    sources: Mapping[str, DataFrame], *, as_of: str | None = None, days: DataFrame | None = None
+def _touched(
+    orders: DataFrame, mark: datetime, upto: datetime | None, changed: Mapping[str, tuple[str, DataFrame]]
 ) -> DataFrame:
-    """Orders of all sources with customer, product and latest price, and the
-    derived columns.
+    """Orders loaded after the mark, and those with a changed key."""
+    if not changed:
+        return since(orders, LOADED_AT, mark, upto)
+    condition = (F.col(LOADED_AT) > F.lit(mark)) if upto is not None else F.lit(False)
+    rows = orders
+    for name, (key, keys) in changed.items():
+        rows = rows.join(keys.select(F.col(key).alias(f"_{name}")), F.col(key) == F.col(f"_{name}"), "left")
+        condition = condition | F.col(f"_{name}").isNotNull()
+    return rows.where(condition).select(*orders.columns)
 
-    The result has one row per order already: the union keeps the latest
-    version of each order while ``updated_at`` is still there, and every table
-    joined to it is one row per key. Prices have one row per product and day.
-    With ``days`` only orders of these ``order_date`` values (NULL too) are enriched.
-    Deduplicating again after the joins would
-    shuffle the widest rows for nothing.
+
+class SeenRows:
+    """The versions of dimension rows that a processor saw in its last run, and those it sees now.
+
+    Each run stores the versions under the time it started. The run's time is
+    stored together with the marks; a run that did not get so far leaves versions
+    that nothing refers to, and the next run removes them.
     """
+
+    def __init__(
+        self, spark: SparkSession, marks: str, processor: str, dimensions: Mapping[str, tuple[str, DataFrame]]
+    ):
+        self.spark, self.name, self.dimensions = spark, f"{processor}:run", dimensions
+        self.last, self.now = read_mark(spark, marks, self.name), datetime.now()
+        self.root = f"{marks.rstrip('/')}_versions/{processor}"
+        for name, (key, rows) in dimensions.items():
+            ignore = {LOADED_AT, SOURCE_FILE, OP_COLUMN, *CHANGE_TIMES}
+            row_versions(rows, key, ignore).write.mode("overwrite").parquet(self._path(self.now, name))
+
+    def changed(self) -> dict[str, tuple[str, DataFrame]]:
+        """Key column and keys of each dimension that differs from the last run; all keys if that is not known."""
+        found = {}
+        for name, (key, _) in self.dimensions.items():
+            before = None if self.last is None else read_if_exists(self.spark, self._path(self.last, name))
+            keys = changed_keys(before, self.spark.read.parquet(self._path(self.now, name)), key)
+            if not keys.isEmpty():
+                found[name] = key, keys
+        return found
+
+    def keep(self) -> None:
+        """The versions of this run are the last ones; others go."""
+        for label in names_in(self.spark, self.root):
+            if label != batch_label(self.now):
+                discard(self.spark, f"{self.root}/{label}")
+
+    def forget(self) -> None:
+        """This run changed nothing."""
+        discard(self.spark, f"{self.root}/{batch_label(self.now)}")
+
+    def _path(self, run: datetime, name: str) -> str:
+        return f"{self.root}/{batch_label(run)}/{name}"
+
+
+def merged_sources(sources: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """One row per order, customer and product over both of its sources, and the latest price per product."""
     merged = {
         name: union_latest(
             [_timed(drop_lineage(sources[t])) for t in union.tables if t in sources],
@@ -116,14 +176,42 @@ def enrich_left(
     merged["api_pricing"] = latest_per_key(
         drop_lineage(sources["api_pricing"]), ["product_id"], "price_date", tie_break=()
     )
+    return merged
+
+
+def enrich_left(
+    sources: Mapping[str, DataFrame],
+    *,
+    as_of: str | None = None,
+    days: DataFrame | None = None,
+    observation: Observation | None = None,
+) -> DataFrame:
+    """Orders of all sources with customer, product and latest price, and the
+    derived columns.
+
+    The result has one row per order already: the union keeps the latest
+    version of each order while ``updated_at`` is still there, and every table
+    joined to it is one row per key. Prices have one row per product and day.
+    With ``days`` only orders of these ``order_date`` values (NULL too) are enriched.
+    ``observation`` receives the number of ``orders`` before the joins.
+    Deduplicating again after the joins would
+    shuffle the widest rows for nothing.
+    """
+    merged = merged_sources(sources)
     if days is not None:
         dated = merged["all_orders"]
         merged["all_orders"] = dated.join(days, dated["order_date"].eqNullSafe(days["order_date"]), "left_semi")
+    if observation is not None:
+        merged["all_orders"] = merged["all_orders"].observe(observation, F.count(F.lit(1)).alias("orders"))
     joined = join_chain(merged, ENRICH_JOINS)
     derived = add_customer_age(derive(joined, DERIVED_COLUMNS), as_of)
     return derived.drop(*DROPPED_COLUMNS)
 
 
+class RepeatedOrderError(ValueError):
+    """Rows that must be one per order are not."""
+
+
 def run_silver_enriched(
     spark: SparkSession,
     sources: Mapping[str, DataFrame],
@@ -134,34 +222,49 @@ def run_silver_enriched(
     load_mode: str = "full",
     marks: str | None = None,
 ) -> bool:
-    """Write ``enrich_left`` by order date; False when no source has an order.
+    """Write ``enrich_left`` by order date; False when there was nothing to write.
 
     All joins keep every order, so the output is empty only if the order
-    sources are, which is cheap to see. An incremental run replaces the days of
-    the orders loaded after the stored mark: those they have now and those they
-    had before. Orders without a date are a day of their own. Only orders are looked at: a later change of a customer, product
-    or price alone rewrites no day. The mark is stored last.
+    sources are, which is cheap to see. That no join repeats an order is observed on the
+    write: orders before and rows after the joins are counted, and ``RepeatedOrderError``
+    leaves the old table (a full run) or the marks (an incremental one).
+
+    An incremental run replaces the touched days: those that orders loaded after the
+    stored mark have now and had before, and those of orders whose customer, product or
+    price came, went or changed since the last run. Orders without a date are a day of
+    their own. The days are noted beside the marks for ``refresh_marts``; the marks are stored last.
     """
     orders = [sources[t] for t in UNIONS["all_orders"].tables if t in sources]
     if load_mode == "incremental":
         return _replace_days(spark, sources, orders, target, as_of, fmt, marks)
     if all(df.isEmpty() for df in orders):
         return False
-    return write_table(
-        _stamped(enrich_left(sources, as_of=as_of)),
+    counted, written = Observation(), Observation()
+    write_table(
+        _stamped(enrich_left(sources, as_of=as_of, observation=counted)),
         target,
         fmt=fmt,
         partition_by=("order_date",),
         known_non_empty=True,
+        observation=written,
+        check=lambda: _unrepeated(counted, written),
     )
+    if marks is not None:
+        _note_days(spark, marks, datetime.now(), None)
+    return True
 
 
 def _replace_days(spark, sources, orders, target, as_of, fmt, marks) -> bool:
     mark = read_mark(spark, marks, ENRICHED)
+    merged = merged_sources(sources)
+    keys = {"all_customers": "customer_id", "all_products": "product_id", "api_pricing": "product_id"}
+    seen = SeenRows(spark, marks, ENRICHED, {name: (key, merged[name]) for name, key in keys.items()})
+    changed = seen.changed() if mark is not None else {}
     found = [upto for df in orders if (upto := _loaded_upto(df, mark)) is not None]
-    if not found:
+    if not found and not changed:
+        seen.forget()
         return False
-    upto = max(found)
+    upto = max(found, default=mark)
     fresh = union_sources(
         [since(df, LOADED_AT, mark, upto).select("order_id", "order_date") for df in orders]
     )
@@ -169,33 +272,54 @@ def _replace_days(spark, sources, orders, target, as_of, fmt, marks) -> bool:
     before = read_if_exists(spark, target, fmt)
     if before is not None:
         days = days.union(before.join(fresh, "order_id", "left_semi").select("order_date"))
+        for key, rows in changed.values():
+            days = days.union(before.join(rows, key, "left_semi").select("order_date"))
     # As many rows as days were touched; read before their folders are replaced.
     touched = [r.order_date for r in days.distinct().collect()]
-    chosen = spark.createDataFrame([(d,) for d in touched], "order_date date")
-    write_table(
-        _stamped(enrich_left(sources, as_of=as_of, days=chosen)),
-        target,
-        fmt=fmt,
-        partition_by=("order_date",),
-        dynamic_overwrite=True,
-    )
-    if before is not None:  # a day that its last order has left is not overwritten by anything
-        now = union_latest(
-            [_timed(df).select("order_id", "order_date", "updated_at", "total_amount") for df in orders],
-            UNIONS["all_orders"].key, UNIONS["all_orders"].order_by, UNIONS["all_orders"].tie_break,
-        )
-        for row in chosen.join(now, chosen["order_date"].eqNullSafe(now["order_date"]), "left_anti").collect():
-            discard(spark, f"{target}/order_date={row.order_date or NO_DATE}")
-    store_mark(spark, marks, ENRICHED, upto)
-    return True
+    if touched:
+        chosen = spark.createDataFrame([(d,) for d in touched], "order_date date")
+        counted, written = Observation(), Observation()
+        rows = _stamped(enrich_left(sources, as_of=as_of, days=chosen, observation=counted))
+        rows = rows.observe(written, F.count(F.lit(1)).alias("rows"))
+        replace_partitions(rows, target, ("order_date",), [(d,) for d in touched], fmt=fmt)
+        _unrepeated(counted, written)
+        _note_days(spark, marks, seen.now, None if mark is None else touched)
+    store_marks(spark, marks, {ENRICHED: upto, seen.name: seen.now})
+    seen.keep()
+    return bool(touched)
+
+
+def _unrepeated(counted: Observation, written: Observation) -> None:
+    # A map task that is repeated counts its orders again: there can be more orders than rows, never fewer.
+    orders, rows = metric(counted, "orders", 0), metric(written, "rows", 0)
+    if rows > orders:
+        raise RepeatedOrderError(f"{rows} rows were made from {orders} orders")
+
+
+def _note_days(spark: SparkSession, marks: str, run: datetime, days: list | None) -> None:
+    """Note which days a run has replaced; None stands for all."""
+    rows = [(run, None, True)] if days is None else [(run, d, False) for d in days]
+    noted = spark.createDataFrame(rows, "run_at timestamp, order_date date, everything boolean")
+    path = f"{marks.rstrip('/')}_days"
+    noted.coalesce(1).write.mode("append").parquet(path)
+    fold_files(spark, path, DataFrame.distinct)
+
+
+def noted_days(spark: SparkSession, marks: str, after: datetime | None) -> DataFrame | None:
+    """(run_at, order_date, everything) of the runs of enriched silver after a time; None if none was ever noted."""
+    noted = read_if_exists(spark, f"{marks.rstrip('/')}_days")
+    return None if noted is None else since(noted, "run_at", after)
 
 
 def silver_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """Silver orders; over several batches, the latest version of each."""
-    rows = spark.read.format(fmt).load(path)
+    """Silver orders; over several batches, the latest version of each that is not withdrawn."""
+    rows = read_table(spark, path, fmt)
     if "load_batch" not in rows.columns:
         return rows
-    return latest_per_key(rows, ["order_id"], SILVER_LOADED_AT, tie_break=[F.desc("load_batch")])
+    latest = latest_per_key(rows, ["order_id"], SILVER_LOADED_AT, tie_break=[F.desc("load_batch")])
+    if WITHDRAWN not in rows.columns:
+        return latest
+    return latest.where(~F.coalesce(WITHDRAWN, F.lit(False))).drop(WITHDRAWN)
 
 
 def _loaded_upto(orders: DataFrame, mark: datetime | None) -> datetime | None:

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom.functions.text import cast_text, parse_text
+from ledgerloom.sources.scratch import recover, set_aside
 from ledgerloom.specs import CORRUPT_COLUMN, RAW_OP_COLUMN, SOURCE_FILE, TableSpec
 
 #: Reason columns are joined into one text under this name.
@@ -143,10 +144,22 @@ def _typed(raw: DataFrame, spec: TableSpec, convert: Callable[[Column, T.DataTyp
 
 
 def read_if_exists(spark: SparkSession, path: str, fmt: str = "parquet", **options) -> DataFrame | None:
-    """The data at ``path``, or None when nothing has been written there yet."""
+    """The data at ``path``, or None when nothing has been written there yet.
+
+    A table whose replacement was broken off is first brought back.
+    """
     try:
         return spark.read.format(fmt).options(**options).load(path)
     except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+    if not set_aside(spark, path):
+        return None
+    recover(spark, path)
+    return spark.read.format(fmt).options(**options).load(path)
+
+
+def read_table(spark: SparkSession, path: str, fmt: str = "parquet", **options) -> DataFrame:
+    """The data at ``path``, which must be there."""
+    found = read_if_exists(spark, path, fmt, **options)
+    return spark.read.format(fmt).options(**options).load(path) if found is None else found

@@ -28,10 +28,66 @@ def discard(spark: SparkSession, path: str) -> None:
 def move(spark: SparkSession, path: str, target: str) -> None:
     """Give a complete table its place."""
     folder, files = _opened(spark, path)
-    if not files.rename(folder, _opened(spark, target)[0]):
+    place = _opened(spark, target)[0]
+    if not files.rename(folder, place) and (files.exists(folder) or not files.exists(place)):
         raise OSError(f"{path} could not be renamed to {target}")
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    folder, files = _opened(spark, path)
+    return files.exists(folder)
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of what is directly in a folder, none if there is no such folder."""
+    folder, files = _opened(spark, path)
+    return [x.getPath().getName() for x in files.listStatus(folder)] if files.exists(folder) else []
+
+
+def replace(spark: SparkSession, path: str) -> None:
+    """Put the complete table beside ``path`` (see ``fresh_path``) in its place.
+
+    The old table is set aside, the new one takes its place, and the old one is
+    removed. Whatever step a crash leaves undone, ``recover`` finishes or takes back.
+    """
+    if exists(spark, path):
+        move(spark, path, _aside(path))
+    move(spark, fresh_path(path), path)
+    discard(spark, _aside(path))
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Bring ``path`` back to one complete table after a crash while it was replaced.
+
+    Without the table, the new one takes its place if it is complete and the old one had been
+    set aside, else the old one comes back. What is then left beside the table goes.
+    """
+    if not exists(spark, path) and exists(spark, _aside(path)):
+        complete = exists(spark, f"{fresh_path(path)}/_SUCCESS")
+        move(spark, fresh_path(path) if complete else _aside(path), path)
+    for beside in (fresh_path(path), _aside(path)):
+        discard(spark, beside)
+
+
+def set_aside(spark: SparkSession, path: str) -> bool:
+    """Whether a replacement of ``path`` was broken off between its two renames."""
+    return not exists(spark, path) and exists(spark, _aside(path))
+
+
+def fresh_path(path: str) -> str:
+    """Where the table that is to replace ``path`` is written: beside it, under a name that readers skip."""
+    return _beside(path, "new")
+
+
+def _aside(path: str) -> str:
+    return _beside(path, "old")
+
+
+def _beside(path: str, kind: str) -> str:
+    parent, _, name = path.rstrip("/").rpartition("/")
+    return f"{parent}/.{name}.{kind}"
+
+
 def _opened(spark: SparkSession, path: str):
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())

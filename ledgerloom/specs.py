@@ -142,11 +142,16 @@ class UnionSpec:
 
 @dataclass(frozen=True)
 class MartSpec:
-    """Grain columns and ``{metric name: SQL aggregate}``."""
+    """Grain columns and ``{metric name: SQL aggregate}``.
+
+    A mart that counts rows as distinct keys names the key in ``unique_by``: whoever
+    builds it must know that no row repeats one (see ``plans.gold.run_marts``).
+    """
 
     grain: tuple[str, ...]
     metrics: Mapping[str, str]
     partition_by: tuple[str, ...] = ()
+    unique_by: str | None = None
 
     def __post_init__(self) -> None:
         if not self.grain or not self.metrics:

@@ -19,12 +19,12 @@ from ledgerloom.operators.joins import join_chain, join_lookup
 from ledgerloom.operators.star import (
     calendar_between,
     city_orders,
-    daily_revenue,
     date_dimension,
     dimension,
     fact,
     product_sales,
 )
+from ledgerloom.plans.gold import daily_revenue
 from ledgerloom.plans.silver import silver_core
 from ledgerloom.specs import JoinSpec
 from ledgerloom.workload import bindings as b

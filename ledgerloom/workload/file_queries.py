@@ -12,11 +12,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom import catalog
-from ledgerloom.operators.dedup import union_sources
+from ledgerloom.operators.dedup import dedup_by_key, union_sources
 from ledgerloom.operators.incremental import batch_label, next_mark, read_mark, since, store_mark
 from ledgerloom.operators.quality import split_corrupt
-from ledgerloom.plans.bronze import FILES_PER_LOAD, bronze_table, run_bronze
+from ledgerloom.plans.bronze import FILES_PER_READ, bronze_table, run_bronze
 from ledgerloom.plans.medallion import run_medallion
+from ledgerloom.plans.silver import run_silver, silver_table
 from ledgerloom.sources.files import CORRUPT_FIELDS, scan
 from ledgerloom.sources.listing import list_files, manifest_entries, new_files
 from ledgerloom.sources.scratch import scratch_path
@@ -379,7 +380,7 @@ def manifest_new_files(spark, sf):
     rows.where("order_id % 3 = 0").write.mode("append").parquet(path)
     fresh = new_files(list_files(spark, path), spark.read.parquet(manifest_path))
     names = (row.path for row in fresh.select("path").toLocalIterator())
-    slices = iter(lambda: list(islice(names, FILES_PER_LOAD)), [])
+    slices = iter(lambda: list(islice(names, FILES_PER_READ)), [])
     arrived = union_sources([spark.read.parquet(*part) for part in slices])
     return arrived.groupBy("status").agg(
         F.count(F.lit(1)).alias("orders"), F.sum("total_amount").alias("revenue")
@@ -566,3 +567,38 @@ def medallion_two_runs(spark, sf):
             everything.write.options(**header).mode("append").csv(source)
         run_medallion(spark, specs, paths, root, load_mode="incremental")
     return spark.read.parquet(f"{root}/gold/core/agg_daily_revenue")
+
+
+@query(
+    "silver_incremental_retraction",
+    with_ctes("""
+    select order_id, customer_id, product_id, status, cast(total_amount as double) as total_amount,
+           cast(grand_total as double) as grand_total
+    from (select * from core_one)"""),
+)
+def silver_incremental_retraction(spark, sf):
+    """Two loads into core silver: of the second, every 7th order is loaded anew and perhaps
+    cancelled by then, every 11th customer is no longer active, if not so before, and every 13th product comes back."""
+    orders = dedup_by_key(b.order_lines(spark, sf, shipping=True).drop("updated_at"), ["order_id"])
+    customers, products = b.customers(spark, sf), b.products(spark, sf)
+    first, second = (F.lit(t).cast("timestamp") for t in ("2024-01-01", "2024-01-02"))
+    again = F.col("order_id") % 7 == 0
+    before = orders.withColumns({
+        "status": F.when(again, "shipped").otherwise(F.col("status")),
+        "total_amount": F.when(again, (F.col("total_amount") + 1).cast(b.MONEY)).otherwise(F.col("total_amount")),
+        LOADED_AT: first,
+    })
+    loads = [
+        (
+            before,
+            customers.withColumn("is_active", F.col("is_active") | (F.col("customer_id") % 11 == 0)),
+            products.withColumn("is_active", F.col("is_active") & (F.col("product_id") % 13 != 0)),
+        ),
+        (orders.withColumn(LOADED_AT, F.when(again, second).otherwise(first)), customers, products),
+    ]
+    target, marks = scratch_path(spark, "core-silver"), scratch_path(spark, "marks")
+    for frames in loads:
+        run_silver(spark, *frames, target, load_mode="incremental", marks=marks)
+    return silver_table(spark, target).select(
+        "order_id", "customer_id", "product_id", "status", "total_amount", "grand_total"
+    )

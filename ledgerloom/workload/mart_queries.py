@@ -9,9 +9,10 @@ from ledgerloom import catalog
 from ledgerloom.operators.dedup import latest_per_key, union_latest, union_sources
 from ledgerloom.operators.joins import join_chain
 from ledgerloom.operators.star import build_mart, dimension, fact
-from ledgerloom.plans.gold import run_marts
+from ledgerloom.plans.gold import refresh_marts, run_marts
 from ledgerloom.plans.silver import enrich_left, run_silver_enriched
 from ledgerloom.sources.scratch import scratch_path
+from ledgerloom.specs import LOADED_AT, MartSpec
 from ledgerloom.workload import bindings as b
 from ledgerloom.workload.registry import query
 from ledgerloom.workload.sql import AS_OF, FEED_STATUS, day, mean, total, with_ctes
@@ -128,9 +129,7 @@ def enrich_left_query(spark, sf):
     )
 
 
-@query(
-    "silver_enriched_orders",
-    with_ctes(f"""
+ENRICHED_SQL = with_ctes(f"""
     select order_id, customer_id, product_id, {day("order_date")} as order_date, status,
            cast(total_amount as double) as total_amount, cast(net_amount as double) as net_amount,
            cast(order_year as bigint) as order_year, cast(order_month as bigint) as order_month,
@@ -138,31 +137,34 @@ def enrich_left_query(spark, sf):
            customer_name, loyalty_tier, customer_is_active, customer_age,
            product_name, brand, category, product_is_active,
            cast(final_price as double) as final_price
-    from wide"""),
+    from wide""")
+ENRICHED_COLUMNS = (
+    "order_id",
+    "customer_id",
+    "product_id",
+    "order_date",
+    "status",
+    "total_amount",
+    "net_amount",
+    "order_year",
+    "order_month",
+    "order_day_of_week",
+    "is_high_value",
+    "customer_name",
+    "loyalty_tier",
+    "customer_is_active",
+    "customer_age",
+    "product_name",
+    "brand",
+    "category",
+    "product_is_active",
+    "final_price",
 )
+
+
+@query("silver_enriched_orders", ENRICHED_SQL)
 def silver_enriched_orders(spark, sf):
-    return wide(spark, sf).select(
-        "order_id",
-        "customer_id",
-        "product_id",
-        "order_date",
-        "status",
-        "total_amount",
-        "net_amount",
-        "order_year",
-        "order_month",
-        "order_day_of_week",
-        "is_high_value",
-        "customer_name",
-        "loyalty_tier",
-        "customer_is_active",
-        "customer_age",
-        "product_name",
-        "brand",
-        "category",
-        "product_is_active",
-        "final_price",
-    )
+    return wide(spark, sf).select(*ENRICHED_COLUMNS)
 
 
 @query(
@@ -230,7 +232,7 @@ def marts_from_disk(spark, sf):
     """The seven tables to enriched silver and all marts on disk; one mart read back."""
     root = scratch_path(spark, "enriched")
     run_silver_enriched(spark, sources(spark, sf, shipping=True), f"{root}/silver", as_of=AS_OF)
-    run_marts(spark, f"{root}/silver", f"{root}/marts")
+    run_marts(spark, f"{root}/silver", f"{root}/marts", checked=True)
     return spark.read.parquet(f"{root}/marts/mart_customer_lifetime")
 
 
@@ -294,12 +296,89 @@ def mart_payment_analysis(spark, sf):
 def mart_generic(spark, sf):
     return build_mart(
         b.order_headers(spark, sf),
-        ["status", "payment_method"],
-        {"orders": "count(1)", "revenue": "sum(total_amount)", "largest": "max(total_amount)"},
+        MartSpec(
+            ("status", "payment_method"),
+            {"orders": "count(1)", "revenue": "sum(total_amount)", "largest": "max(total_amount)"},
+        ),
     )
 
 
 def _mart(spark: SparkSession, sf: str, name: str, *, shipping: bool = False) -> DataFrame:
     spec = catalog.MARTS[name]
     rows = wide(spark, sf, shipping=shipping)
-    return build_mart(rows, spec.grain, spec.metrics, unique_key="order_id")
+    return build_mart(rows, spec)
+
+
+def _two_loads(spark: SparkSession, sf: str, root: str, *, marts: bool) -> None:
+    """Enriched silver and perhaps the marts below ``root``, first without a twelfth of the orders and with
+    other attributes and prices of a few customers and products, then as they are.
+
+    Orders are dated by the first of their month: each day is a folder.
+    """
+    now = sources(spark, sf, shipping=True)
+    for name in ("orders", "dms_orders"):
+        now[name] = now[name].withColumn("order_date", F.trunc("order_date", "month"))
+    first, second = (F.lit(t).cast("timestamp") for t in ("2024-01-01", "2024-01-02"))
+    late = F.month("order_date") == 3
+    before = dict(now)
+    for name in ("orders", "dms_orders"):
+        before[name] = now[name].where(~late).withColumn(LOADED_AT, first)
+        now[name] = now[name].withColumn(LOADED_AT, F.when(late, second).otherwise(first))
+    few = lambda key, value, other: F.when(F.col(key) % 500 == 1, other).otherwise(F.col(value))
+    before["customers"] = now["customers"].withColumn("customer_name", few("customer_id", "customer_name", F.lit("old name")))
+    before["products"] = now["products"].withColumn("category", few("product_id", "category", F.lit("old category")))
+    before["api_pricing"] = now["api_pricing"].withColumn("final_price", few("product_id", "final_price", (F.col("final_price") + 1).cast(b.MONEY)))
+    for frames in (before, now):
+        run_silver_enriched(spark, frames, f"{root}/silver", as_of=AS_OF, load_mode="incremental", marks=f"{root}/marks")
+        if marts:
+            refresh_marts(spark, f"{root}/silver", f"{root}/marts", f"{root}/marks")
+
+
+def _by_month(sql: str) -> str:
+    day = "cast(o_orderdate as date) as order_date"
+    return sql.replace(day, "cast(date_trunc('month', o_orderdate) as date) as order_date")
+
+
+@query("silver_enriched_incremental", _by_month(ENRICHED_SQL))
+def silver_enriched_incremental(spark, sf):
+    """Enriched silver after two loads, between which orders, customers, products and prices change."""
+    root = scratch_path(spark, "enriched-loads")
+    _two_loads(spark, sf, root, marts=False)
+    return spark.read.parquet(f"{root}/silver").select(*ENRICHED_COLUMNS)
+
+
+@query(
+    "marts_incremental",
+    _by_month(with_ctes(f"""
+    select 'daily_revenue' as mart, cast(category as varchar) as grain, {total("net_amount")} as revenue, count(*) as orders
+    from wide group by category
+    union all
+    select 'customer_lifetime', cast(customer_id as varchar), {total("net_amount")}, count(*) from wide group by customer_id
+    union all
+    select 'category_performance', category || '/' || order_month, {total("net_amount")}, count(*)
+    from wide group by category, wide.order_month
+    union all
+    select 'city_trends', shipping_city || '/' || order_year, {total("net_amount")}, count(*)
+    from wide group by shipping_city, wide.order_year
+    union all
+    select 'payment_analysis', payment_method || '/' || order_year, {total("net_amount")}, count(*)
+    from wide group by payment_method, wide.order_year""")),
+)
+def marts_incremental(spark, sf):
+    """All five marts on disk after the same two loads, each summed up to a coarser grain."""
+    root = scratch_path(spark, "mart-loads")
+    _two_loads(spark, sf, root, marts=True)
+    grains = {
+        "daily_revenue": (F.col("category"), "total_revenue"),
+        "customer_lifetime": (F.col("customer_id").cast("string"), "lifetime_value"),
+        "category_performance": (F.concat_ws("/", "category", "order_month"), "revenue"),
+        "city_trends": (F.concat_ws("/", "shipping_city", "order_year"), "revenue"),
+        "payment_analysis": (F.concat_ws("/", "payment_method", "order_year"), "revenue"),
+    }
+    parts = [
+        spark.read.parquet(f"{root}/marts/mart_{name}").groupBy(grain.alias("grain"))
+        .agg(F.sum(revenue).alias("revenue"), F.sum("order_count").alias("orders"))
+        .select(F.lit(name).alias("mart"), "grain", "revenue", "orders")
+        for name, (grain, revenue) in grains.items()
+    ]
+    return union_sources(parts)

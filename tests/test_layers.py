@@ -1,6 +1,7 @@
 import glob
 from dataclasses import replace
 from datetime import datetime
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,8 +9,22 @@ from pyspark.sql import functions as F
 from ledgerloom import catalog
 from ledgerloom.operators.dedup import latest_per_key
 from ledgerloom.operators.quality import QualityGateError
-from ledgerloom.plans import bronze_table, enrich_left, run_bronze, run_medallion, run_silver, run_silver_enriched
-from ledgerloom.plans.silver import silver_core
+from ledgerloom.plans import (
+    RepeatedOrderError,
+    bronze,
+    bronze_table,
+    enrich_left,
+    gold,
+    refresh_marts,
+    run_bronze,
+    run_marts,
+    run_medallion,
+    run_silver,
+    run_silver_enriched,
+    silver,
+    silver_core,
+    silver_table,
+)
 from ledgerloom.specs import Gate, TableSpec, struct_from_columns
 from ledgerloom.sources import write_table
 from ledgerloom.streaming import (
@@ -162,7 +177,7 @@ def test_all_layers(spark, raw, products, tmp_path, rows):
 
 
 @pytest.fixture
-def bronze(spark):
+def loaded(spark):
     orders = spark.createDataFrame(
         [(i, i % 3, 1, "open", i * 10) for i in range(10)],
         "order_id int, customer_id int, product_id int, status string, total_amount int",
@@ -172,8 +187,8 @@ def bronze(spark):
     return orders, customers, spark.createDataFrame([(1, True)], "product_id int, is_active boolean")
 
 
-def test_incremental_silver_equals_full(spark, bronze, tmp_path, rows):
-    orders, customers, products = bronze
+def test_incremental_silver_equals_full(spark, loaded, tmp_path, rows):
+    orders, customers, products = loaded
     target, marks = str(tmp_path / "silver"), str(tmp_path / "marks")
 
     def run(seen):
@@ -184,24 +199,24 @@ def test_incremental_silver_equals_full(spark, bronze, tmp_path, rows):
     first = orders.where("order_id < 6")
     assert run(first) and run(orders) and not run(orders)
     columns = ["order_id", "customer_id", "grand_total"]
-    got = spark.read.parquet(target)
-    assert rows(got.select(*columns)) == rows(silver_core(*bronze).select(*columns))
-    assert got.select("load_batch").distinct().count() == 2
+    got = silver_table(spark, target)
+    assert rows(got.select(*columns)) == rows(silver_core(*loaded).select(*columns))
+    assert spark.read.parquet(target).select("load_batch").distinct().count() == 2
 
 
-def test_repeated_run_replaces_its_output(spark, bronze, tmp_path):
-    orders, customers, products = bronze
+def test_repeated_run_replaces_its_output(spark, loaded, tmp_path):
+    orders, customers, products = loaded
     target = str(tmp_path / "silver")
     for marks in ("lost", "kept"):  # the first run's mark is lost
         run_silver(
             spark, orders, customers, products, target,
             load_mode="incremental", marks=str(tmp_path / marks),
         )
-    assert spark.read.parquet(target).count() == silver_core(*bronze).count()
+    assert silver_table(spark, target).count() == silver_core(*loaded).count()
 
 
-def test_full_silver(spark, bronze, tmp_path):
-    orders, customers, products = bronze
+def test_full_silver(spark, loaded, tmp_path):
+    orders, customers, products = loaded
     target = str(tmp_path / "silver")
     assert run_silver(spark, orders, customers, products, target)
     assert not run_silver(spark, orders.limit(0), customers, products, target)
@@ -377,3 +392,201 @@ def test_incremental_enriched_silver_keeps_orders_without_a_date(spark, tmp_path
         names = sorted(read(whole).columns)
         assert rows(read(grown).select(*names)) == rows(read(whole).select(*names))
     assert not glob.glob(f"{grown}/order_date=__HIVE*/*.parquet")
+
+
+ORDER_ROW = "order_id int, customer_id int, product_id int, status string, total_amount decimal(10,2), bronze_loaded_at timestamp"
+
+
+def test_incremental_silver_withdraws_orders(spark, tmp_path, rows):
+    """Runs after changes of orders, customers and products equal a full run each time."""
+    target, marks = str(tmp_path / "silver"), str(tmp_path / "marks")
+    at = lambda d: datetime(2024, 1, d)
+    orders = {i: (i, i % 4, i % 3, "open", i * 10, at(1)) for i in range(24)}
+    people = {i: (i, i != 3, f"name {i}") for i in range(4)}
+    goods = {i: (i, True, f"thing {i}") for i in range(3)}
+    columns = ["order_id", "customer_id", "status", "customer_name", "product_name", "grand_total"]
+
+    def run():
+        frames = (
+            spark.createDataFrame([(*o[:4], Decimal(o[4]), o[5]) for o in orders.values()], ORDER_ROW),
+            spark.createDataFrame(list(people.values()), "customer_id int, is_active boolean, customer_name string"),
+            spark.createDataFrame(list(goods.values()), "product_id int, is_active boolean, product_name string"),
+        )
+        wrote = run_silver(spark, *frames, target, load_mode="incremental", marks=marks)
+        assert rows(silver_table(spark, target).select(*columns)) == rows(silver_core(*frames).select(*columns))
+        return wrote
+
+    assert run() and not run()
+    orders[1] = (1, 1, 1, "cancelled", 10, at(2))  # cancelled after it was silver
+    orders[30] = (30, 0, 0, "cancelled", 10, at(2))  # never was
+    assert run()
+    people[0] = (0, False, "name 0")  # no order is loaded anew
+    assert run() and not run()
+    people[0], people[3] = (0, True, "name 0"), (3, True, "new 3")
+    goods[2] = (2, False, "thing 2")
+    orders[1] = (1, 1, 1, "open", 11, at(3))
+    assert run()
+    del people[2]
+    goods[2], goods[7] = (2, True, "other 2"), (7, True, "thing 7")
+    orders[31] = (31, 1, 7, "open", 70, at(4))
+    assert run() and not run()
+    assert len(glob.glob(f"{marks}_versions/silver/*")) == 1
+
+
+def enriched_sources(spark, orders, people, goods, prices):
+    names = "order_id int, customer_id int, product_id int, order_date date, total_amount int, bronze_loaded_at timestamp"
+    frame = spark.createDataFrame(list(orders.values()), names).withColumns({
+        "quantity": F.lit(1), "unit_price": F.lit(1).cast("decimal(10,2)"), "discount_amount": F.lit(0).cast("decimal(10,2)"),
+        "status": F.lit("open"), "payment_method": F.lit("card"), "payment_status": F.lit("paid"), "order_source": F.lit("web"),
+        "shipping_city": F.concat(F.lit("c"), F.col("customer_id") % 2), "shipping_state": F.lit("s")})
+    empty = {n: F.lit(None).cast("string") for n in ("email", "phone", "gender", "city", "state", "pincode", "loyalty_tier", "preferred_payment")}
+    customers = spark.createDataFrame(list(people.items()), "customer_id int, customer_name string").withColumns({
+        **empty, "is_active": F.lit(True), "is_verified": F.lit(True), "registered_date": F.lit("2020-01-01").cast("date"),
+        "date_of_birth": F.lit("2000-01-01").cast("date"), "updated_at": F.current_timestamp()})
+    numbers = {n: F.lit(1) for n in ("mrp", "selling_price", "discount_percentage", "avg_rating", "review_count")}
+    products = spark.createDataFrame(list(goods.items()), "product_id int, category string").withColumns({
+        **numbers, "product_name": F.lit("p"), "brand": F.lit("b"), "sub_category": F.lit("s"), "is_active": F.lit(True),
+        "launch_date": F.lit("2020-01-01").cast("date")})
+    feed = spark.createDataFrame([(k, v, "2024-01-01") for k, v in prices.items()], "product_id int, final_price int, price_date string")
+    return {"orders": frame, "customers": customers, "products": products, "api_pricing": feed}
+
+
+def test_incremental_marts_equal_full(spark, tmp_path, rows):
+    """Orders, customers, products and prices change; silver and all marts equal those of a full run."""
+    from datetime import date
+
+    root, marks = str(tmp_path), str(tmp_path / "marks")
+    at = lambda d: datetime(2024, 3, d)
+    days = [date(2024, 1, 5), date(2024, 1, 20), date(2024, 2, 1), date(2023, 12, 31), None]
+    orders = {i: (i, i % 6, i % 4, days[i % 5], i * 100, at(1)) for i in range(60)}
+    people, goods, prices = {i: f"n{i}" for i in range(6)}, {i: f"c{i % 2}" for i in range(4)}, {i: 10 + i for i in range(4)}
+
+    def run(number):
+        sources = enriched_sources(spark, orders, people, goods, prices)
+        options = {"as_of": "2024-06-30"}
+        run_silver_enriched(spark, sources, f"{root}/silver", load_mode="incremental", marks=marks, **options)
+        written = refresh_marts(spark, f"{root}/silver", f"{root}/marts", marks)
+        run_silver_enriched(spark, sources, f"{root}/whole{number}", **options)
+        names = run_marts(spark, f"{root}/whole{number}", f"{root}/full{number}")
+        for name in ("silver", *names):
+            grown, whole = (f"{root}/silver", f"{root}/whole{number}") if name == "silver" else (f"{root}/marts/{name}", f"{root}/full{number}/{name}")
+            a, b = (spark.read.parquet(x).drop("silver_loaded_at") for x in (grown, whole))
+            assert rows(a.select(*sorted(b.columns))) == rows(b.select(*sorted(b.columns))), name
+        return written
+
+    files = lambda path: set(glob.glob(f"{root}/{path}/**/*.parquet", recursive=True))
+    assert "dim_date" in run(0)
+    before = {x: files(x) for x in ("silver/order_date=2024-02-01", "marts/mart_city_trends/order_year=2024/order_month=2", "marts/mart_daily_revenue/order_date=2023-12-31", "marts/fact_orders/order_year=2023")}
+    orders[0] = (0, 0, 0, days[1], 5, at(2))  # leaves its day
+    orders[70] = (70, 9, 3, days[0], 7, at(2))  # of a customer that is not known yet
+    assert "dim_date" not in run(1)
+    assert {x: files(x) for x in before} == before and all(before.values())
+    assert refresh_marts(spark, f"{root}/silver", f"{root}/marts", marks) == []
+    people[9] = "n9"  # its order is not loaded anew
+    prices[1] = 99
+    goods[2] = "c9"
+    run(2)
+    for i in [i for i, o in orders.items() if o[3] == date(2023, 12, 31)]:
+        orders[i] = (i, 1, 1, None, 1, at(3))  # the only day of its month is left
+    del people[4]
+    run(3)
+    assert not files("marts/fact_orders/order_year=2023") and not files("marts/mart_daily_revenue/order_date=2023-12-31")
+    # A refresh that fails before its mark is repeated with the same keys.
+    orders[5] = (5, 2, 2, days[2], 8, at(4))
+    sources = enriched_sources(spark, orders, people, goods, prices)
+    run_silver_enriched(spark, sources, f"{root}/silver", load_mode="incremental", marks=marks, as_of="2024-06-30")
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(gold, "store_mark", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError, match="lost"):
+            refresh_marts(spark, f"{root}/silver", f"{root}/marts", marks)
+    assert run(4)
+
+
+def test_refresh_reads_touched_partitions_only(spark, tmp_path):
+    from datetime import date
+
+    days = [date(2024, 1, 5), date(2024, 2, 1), None]
+    silver_rows = spark.createDataFrame([(i, days[i % 3]) for i in range(9)], "order_id int, order_date date")
+    write_table(silver_rows, str(tmp_path / "silver"), partition_by=("order_date",))
+    table = spark.read.parquet(str(tmp_path / "silver"))
+    for condition in (gold._within([days[0]]), gold._in_months({(2024, 1)})):
+        chosen = table.where(condition)
+        assert chosen.count() == 3 and "PartitionFilters: [isnotnull(order_date" in chosen._jdf.queryExecution().executedPlan().toString()
+    assert table.where(gold._within([None])).count() == table.where(gold._in_months({(None, None)})).count() == 3
+
+
+def test_many_files_are_one_load(spark, raw, tmp_path, monkeypatch):
+    """Three files taken one at a time: one verdict, one row per key, as if read at once."""
+    header = ",".join(catalog.ORDERS_SCHEMA.names)
+    for name, first in (("b", 10), ("c", 20)):
+        lines = [ORDER.format(id=i, c=1, p=1, d=1, amount="9.00", status="open") for i in range(first, first + 4)]
+        lines.append(ORDER.format(id=1, c=1, p=1, d=2, amount=f"{first}.00", status="again"))
+        with open(f"{raw['orders']}/{name}.csv", "w") as f:
+            f.write("\n".join([header, *lines]) + "\n")
+    results = []
+    for part, size in (("one", 10_000), ("many", 1)):
+        monkeypatch.setattr(bronze, "FILES_PER_READ", size)
+        target, bad = str(tmp_path / part), str(tmp_path / f"{part}-bad")
+        with pytest.raises(QualityGateError, match="min_rows=16"):  # each file alone has fewer
+            run_bronze(spark, spec("orders", gate=Gate(min_rows=17)), raw["orders"], target, bad)
+        assert not glob.glob(f"{target}/load_id*")
+        counts = run_bronze(spark, spec("orders", gate=Gate(min_rows=16)), raw["orders"], target, bad)
+        kept = bronze_table(spark, spec("orders"), target).drop("bronze_loaded_at")
+        results.append((counts, sorted(map(tuple, kept.collect())), spark.read.json(bad).count()))
+        assert spark.read.parquet(f"{target}/_manifest").count() == 3 and len(glob.glob(f"{target}/load_id=*")) == 1
+    assert results[0] == results[1]
+
+
+def test_repeated_orders_raise(spark, tmp_path, monkeypatch):
+    from datetime import date
+
+    orders = {i: (i, i % 2, 0, date(2024, 1, 1 + i), 5, datetime(2024, 2, 1)) for i in range(4)}
+    sources = enriched_sources(spark, orders, {0: "a", 1: "b"}, {0: "c"}, {0: 1})
+    path = str(tmp_path / "silver")
+    run_silver_enriched(spark, sources, path, as_of="2024-06-30")
+    run_marts(spark, path, str(tmp_path / "marts"))
+    plain = silver.join_chain
+
+    def repeating(frames, joins):
+        twice = frames["all_customers"]
+        return plain({**frames, "all_customers": twice.union(twice)}, joins)
+
+    monkeypatch.setattr(silver, "join_chain", repeating)
+    with pytest.raises(RepeatedOrderError, match="8 rows were made from 4 orders"):
+        run_silver_enriched(spark, sources, path, as_of="2024-06-30")
+    assert spark.read.parquet(path).count() == 4
+    with pytest.raises(RepeatedOrderError):
+        run_silver_enriched(spark, sources, str(tmp_path / "grown"), as_of="2024-06-30", load_mode="incremental", marks=str(tmp_path / "marks"))
+    monkeypatch.undo()
+    twice = spark.read.parquet(path)
+    twice.union(twice).write.parquet(str(tmp_path / "twice"))
+    with pytest.raises(RepeatedOrderError, match="has 2 rows"):
+        run_marts(spark, str(tmp_path / "twice"), str(tmp_path / "more"))
+
+
+def test_compaction_rewrites_touched_buckets_only(spark, tmp_path, rows):
+    state = str(tmp_path / "state")
+    schema = "op string, k int, t timestamp, v string"
+
+    def land(number, changes):
+        spark.createDataFrame(changes, schema).write.parquet(f"{state}/changes/stream=s/batch_id={number}")
+
+    at = lambda d: datetime(2024, 1, d)
+    files = lambda: set(glob.glob(f"{state}/base/**/*.parquet", recursive=True))
+    land(0, [("I", k, at(1), "a") for k in range(100)])
+    assert compact_state(spark, state, ["k"], "t", buckets=16) == 1
+    first = files()
+    assert len(first) == 16
+    land(1, [("U", 7, at(2), "b")])
+    assert compact_state(spark, state, ["k"], "t") == 2
+    assert first < files() and len(files() - first) == 1
+    land(2, [("D", 8, at(2), None), ("U", 7, at(1), "late")])
+    want = [(k, "b" if k == 7 else "a") for k in range(100) if k != 8]
+    read = lambda: rows(read_state(spark, state, ["k"], "t", "op").select("k", "v"))
+    assert read() == sorted(want, key=repr)
+    assert compact_state(spark, state, ["k"], "t") == 3 and read() == sorted(want, key=repr)
+    remove_folded(spark, state)
+    assert len(files()) == 16 and len(glob.glob(f"{state}/versions/*")) == 1 and not glob.glob(f"{state}/changes/*/*/*.parquet")
+    assert read() == sorted(want, key=repr)
+    land(3, [("U", 7, at(3), "c")])
+    assert compact_state(spark, state, ["k"], "t") == 4 and (7, "c") in read()

@@ -5,8 +5,18 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.incremental import batch_label, next_mark, read_mark, since, store_mark
-from ledgerloom.sources import list_files, new_files, scratch_path, write_table
+from ledgerloom.operators.incremental import (
+    batch_label,
+    changed_keys,
+    next_mark,
+    read_mark,
+    row_versions,
+    since,
+    store_mark,
+    store_marks,
+)
+from ledgerloom.sources import list_files, new_files, scratch, scratch_path, write_table
+from ledgerloom.sources.sinks import fold_files, replace_partitions
 from ledgerloom.sources.listing import manifest_entries
 from ledgerloom.sources.files import read_if_exists
 
@@ -104,3 +114,101 @@ def test_scratch_follows_the_session():
 
 def test_missing_table(spark, tmp_path):
     assert read_if_exists(spark, str(tmp_path / "nothing")) is None
+
+
+@pytest.mark.parametrize("step", ["set aside", "in place", "removed"])
+def test_replacement_survives_a_crash(spark, tmp_path, monkeypatch, step):
+    """A run ends before, between or after the renames; readers and the next run see one whole table."""
+    path = str(tmp_path / "t")
+    write_table(spark.range(5), path)
+    calls = []
+
+    def stopping(session, *paths):
+        calls.append(paths)
+        if len(calls) == {"set aside": 1, "in place": 2}.get(step):
+            raise OSError("stopped")
+        return plain(session, *paths)
+
+    name = "discard" if step == "removed" else "move"
+    plain = getattr(scratch, name)
+
+    def not_removed(session, gone):
+        if gone.endswith(".old") and scratch.exists(session, gone):
+            raise OSError("stopped")
+        return plain(session, gone)
+
+    monkeypatch.setattr(scratch, name, not_removed if step == "removed" else stopping)
+    with pytest.raises(OSError, match="stopped"):
+        write_table(spark.range(8), path)
+    monkeypatch.undo()
+    count = 5 if step == "set aside" else 8
+    assert read_if_exists(spark, path).count() == count
+    if step == "in place":
+        assert sorted(p.name for p in tmp_path.iterdir()) == ["t"]
+    assert write_table(spark.range(3), path)
+    assert spark.read.parquet(path).count() == 3
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["t"]
+
+
+def test_incomplete_replacement_is_taken_back(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_table(spark.range(5), path)
+    scratch.move(spark, path, scratch._aside(path))
+    spark.range(2).write.parquet(scratch.fresh_path(path))
+    (tmp_path / ".t.new" / "_SUCCESS").unlink()
+    assert read_if_exists(spark, path).count() == 5
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["t"]
+
+
+def test_check_before_the_table_is_replaced(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_table(spark.range(5), path)
+
+    def refuse():
+        raise ValueError("refused")
+
+    with pytest.raises(ValueError, match="refused"):
+        write_table(spark.range(8), path, check=refuse)
+    assert spark.read.parquet(path).count() == 5
+
+
+def test_replaced_partitions(spark, tmp_path, rows):
+    path = str(tmp_path / "t")
+    old = spark.createDataFrame([(1, "a", 1), (2, "a", 2), (3, "b", 1), (4, None, 1)], "v int, p string, q int")
+    write_table(old, path, partition_by=("p", "q"))
+    new = spark.createDataFrame([(5, "a", 1)], "v int, p string, q int")
+    assert replace_partitions(new, path, ("p", "q"), [("a", 1), ("b", 1), (None, 1)]) == 1
+    assert rows(spark.read.parquet(path).select("v", "p", "q")) == [(2, "a", 2), (5, "a", 1)]
+    assert replace_partitions(new.limit(0), path, ("p", "q"), [("a", 1)]) == 0
+    assert rows(spark.read.parquet(path).select("v")) == [(2,)]
+
+
+def test_marks_are_folded(spark, tmp_path):
+    path = str(tmp_path / "marks")
+    for i in range(70):
+        store_marks(spark, path, {"a": datetime(2024, 1, 1, 0, i % 60), "b": datetime(2024, 1, 2)})
+    assert len(glob.glob(f"{path}/*.parquet")) <= 65
+    assert read_mark(spark, path, "a") == datetime(2024, 1, 1, 0, 59) and read_mark(spark, path, "b") == datetime(2024, 1, 2)
+
+
+def test_file_that_lands_while_folding_stays(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for i in range(6):
+        spark.range(i, i + 1).coalesce(1).write.mode("append").parquet(path)
+
+    def fold(rows):
+        spark.range(100, 101).coalesce(1).write.mode("append").parquet(path)
+        return rows.distinct()
+
+    assert not fold_files(spark, path, fold, above=6)
+    assert fold_files(spark, path, fold, above=5)
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [0, 1, 2, 3, 4, 5, 100]
+    assert len(glob.glob(f"{path}/*.parquet")) == 2
+
+
+def test_changed_keys(spark, rows):
+    before = row_versions(spark.createDataFrame([(1, "a", None), (2, "b", "x"), (3, "c", None)], "k int, v string, w string"), "k")
+    now = [(1, "a", None), (2, None, "b"), (4, "d", None)]
+    versions = row_versions(spark.createDataFrame([(*r, "l") for r in now], "k int, v string, w string, at string"), "k", ["at"])
+    assert rows(changed_keys(before, versions, "k")) == [(2,), (3,), (4,)]
+    assert rows(changed_keys(None, versions, "k")) == [(1,), (2,), (4,)]
