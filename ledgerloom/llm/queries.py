@@ -51,7 +51,7 @@ def op1_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four-word shingles, 64 bits, links at 4 or fewer differing bits, exactly."""
     docs = _table(spark, sf_dir, "documents")
-    return simhash.near_duplicates(docs, words=4, lanes=1, radius=4, tables=None, repeats=True)
+    return simhash.near_duplicates(docs, words=4, radius=4)
 
 
 @_query

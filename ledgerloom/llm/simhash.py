@@ -6,28 +6,25 @@ query's differences to those 64 are counted together by carry-save adders, eight
 planes at a time, into counters that start so high that passing the radius
 overflows them; a word whose 64 counters have all overflowed is abandoned.
 
-Keys: with ``tables=None`` the bits are cut into radius + 1 pieces and each piece
-is a key, so fingerprints within the radius always meet. Otherwise there are
-``tables`` keys of ``key_bits`` bits drawn by a fixed rule; this suits wide
-fingerprints and large radii. ``drop_near_duplicates`` takes such near pairs for
-candidates only and compares the shingle sets themselves; the README gives the
-chance that a pair is no candidate.
-
-Equal fingerprints are one node. A block larger than ``TILE`` is dealt into parts
+Keys: the bits are cut into pieces, and every choice of all but ``radius`` of them is a key. Fingerprints
+within the radius differ in at most so many pieces and so share a key: no pair is missed,
+whatever the number of pieces. More pieces give more and longer keys, hence smaller blocks; the number
+follows from that of different fingerprints.
+
+Equal fingerprints are one node, named by its bits. A block larger than ``TILE`` is dealt into parts
 and every two parts meet in a task of their own, so no task holds a whole hot
 block. A task emits only as many links as join its rows (a forest), never all pairs.
 
 Null text is empty text; a text without words has fingerprint zero and links like
-any other. Rows that repeat an id are reported each. Rows without an id get a
-fingerprint and no component; ``drop_near_duplicates`` compares them too and keeps
-one only if its group has no id. An empty table gives an empty result; other columns
+any other. Rows that repeat an id are documents of their own, reported each. Rows without an id link
+too; a group's component is its smallest id, null if it has none. An empty table gives an empty result; other columns
 are ignored.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable, Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +37,7 @@ from ledgerloom.llm.components import components
 from ledgerloom.llm.exact import without
 
 SEED = 42
+BITS = 64
 #: Rows of a block that are compared in one task; larger blocks are dealt into parts of about this size.
 TILE = 4096
 #: Query-word pairs whose counters are held at once; each has up to 64 near rows.
@@ -47,8 +45,6 @@ PAIRS = 1 << 14
 #: Shingle hashes that are counted at once.
 HASHES = 1 << 15
 
-_MIX = (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB)
-
 
 def shingle_hashes(text: str, words: int) -> np.ndarray:
     """XXH64 of every run of ``words`` words (the whole sequence if there are fewer)."""
@@ -68,48 +64,42 @@ def shingle_hashes(text: str, words: int) -> np.ndarray:
     )
 
 
-def _lanes(hashes: np.ndarray, lanes: int) -> np.ndarray:
-    """The hash itself, then mixed copies of it, as columns."""
-    out = [hashes]
-    for lane in range(1, lanes):
-        x = hashes + np.uint64(lane * _MIX[0] & (1 << 64) - 1)
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(_MIX[1])
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(_MIX[2])
-        out.append(x ^ (x >> np.uint64(31)))
-    return np.stack(out, axis=1)
-
-
-def fingerprint(hashes: np.ndarray, lanes: int = 1) -> bytes:
-    """Bits set in over half of the hashes, highest bit first, as ``8 * lanes`` bytes."""
-    total = np.zeros(64 * lanes, np.int64)
+def fingerprint(hashes: np.ndarray) -> bytes:
+    """Bits set in over half of the hashes, highest bit first."""
+    total = np.zeros(BITS, np.int64)
     for start in range(0, len(hashes), HASHES):
-        part = _lanes(hashes[start : start + HASHES], lanes)
+        part = hashes[start : start + HASHES, None]
         bits = np.unpackbits(part.view(np.uint8), axis=1, bitorder="little")
         for row in range(0, len(bits), 255):
             total += bits[row : row + 255].sum(axis=0, dtype=np.uint8)
     return np.packbits((total * 2 > len(hashes))[::-1]).tobytes()
 
 
-def fingerprints(
-    docs: DataFrame, id_col: str, text_col: str, words: int, lanes: int, repeats: bool = True
-) -> DataFrame:
-    """``id, print`` for every row; without ``repeats`` each different shingle of a text counts once."""
+def fingerprints(docs: DataFrame, words: int) -> DataFrame:
+    """``id, hash, print`` of ``docs(id, text, hash)``; the hash tells rows of one id apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            hashes = [shingle_hashes(x, words) for x in batch.column(1).to_pylist()]
-            prints = [fingerprint(x if repeats else np.unique(x), lanes) for x in hashes]
-            yield pa.record_batch([batch.column(0), pa.array(prints, pa.binary())], ["id", "print"])
+            prints = [fingerprint(shingle_hashes(x, words)) for x in batch.column("text").to_pylist()]
+            yield pa.record_batch(
+                [batch.column("id"), batch.column("hash"), pa.array(prints, pa.binary())], ["id", "hash", "print"]
+            )
+
+    return docs.mapInArrow(run, "id bigint, hash string, print binary")
 
-    return text_rows(docs, id_col, text_col).mapInArrow(run, "id bigint, print binary")
 
+def keys_of(radius: int, pieces: int) -> list[np.ndarray]:
+    """The bit numbers of each key: all choices of ``pieces - radius`` pieces."""
+    cut = np.array_split(np.arange(BITS), pieces)
+    return [np.concatenate(chosen) for chosen in combinations(cut, pieces - radius)]
 
-def key_bits_of(bits: int, radius: int, tables: int | None, key_bits: int) -> list[np.ndarray]:
-    """The bit numbers of each key."""
-    if tables is None:
-        return np.array_split(np.arange(bits), radius + 1)
-    draw = np.random.default_rng(SEED)
-    return [draw.choice(bits, key_bits, replace=False) for _ in range(tables)]
+
+def pieces_for(radius: int, rows: int) -> int:
+    """So many pieces that a key has about a value for every ``TILE`` / 4 rows, two more than the radius at most."""
+    pieces = radius + 1
+    while pieces < radius + 3 and rows > TILE // 4 * 2 ** (BITS * (pieces - radius) // pieces):
+        pieces += 1
+    return pieces
 
 
 def _bits(prints: np.ndarray) -> np.ndarray:
@@ -227,45 +217,8 @@ def _links(table: pa.Table, prints: np.ndarray, block: np.ndarray, radius: int)
     yield pa.record_batch([pa.array(ids[a]), pa.array(ids[b])], ["a", "b"])
 
 
-def _candidates(least: float, every: bool) -> Callable:
-    """Near pairs of different ``label`` whose set sizes ``n`` allow a similarity of ``least``.
-
-    Without ``every``, a block with more pairs than rows gives of the rest only each row's
-    first pair, and its part is named in a row without ``a``.
-    """
-
-    def run(table: pa.Table, prints: np.ndarray, block: np.ndarray, radius: int) -> Iterator[pa.RecordBatch]:
-        ids, n, label, part = (table[x].to_numpy() for x in ("id", "n", "label", "part"))
-        size = np.bincount(block)
-        spent = np.zeros(len(size), np.int64)
-        met = np.zeros(len(ids), bool)
-        cut = np.zeros(len(size), bool)
-        for left, right in near_pairs(prints, block, radius):
-            low, high = np.minimum(n[left], n[right]), np.maximum(n[left], n[right])
-            open_ = (label[left] != label[right]) & (low >= least * high - 1e-9)
-            left, right = left[open_], right[open_]
-            if not every and len(left):
-                number = block[left]
-                kept = spent[number] <= size[number]
-                spent += np.bincount(number, minlength=len(size))
-                cut[number[~kept]] = True
-                _, first = np.unique(right, return_index=True)
-                kept[first[~met[right[first]]]] = True
-                met[right] = True
-                left, right = left[kept], right[kept]
-            a, b = np.minimum(ids[left], ids[right]), np.maximum(ids[left], ids[right])
-            yield pa.record_batch(
-                [pa.array(a), pa.array(b), pa.nulls(len(a), pa.int64())], ["a", "b", "part"]
-            )
-        dense = np.unique(part[cut[block]])
-        none = pa.nulls(len(dense), pa.int64())
-        yield pa.record_batch([none, none, pa.array(dense)], ["a", "b", "part"])
-
-    return run
-
-
-def _compared(radius: int, found: Callable = _links) -> Callable:
-    """Sorted rows of whole blocks to what ``found`` makes of them; blocks are gathered until a window is full."""
+def _compared(radius: int) -> Callable:
+    """Sorted rows of whole blocks to links; blocks are gathered until a window is full."""
 
     def links(window: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.Table.from_batches(window)
@@ -275,7 +228,7 @@ def _compared(radius: int, found: Callable = _links) -> Callable:
         edges = np.flatnonzero(part[1:] != part[:-1]) + 1
         number = np.zeros(len(part), np.int64)
         number[edges] = 1
-        yield from found(table, prints, np.cumsum(number), radius)
+        yield from _links(table, prints, np.cumsum(number), radius)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -329,160 +282,52 @@ def _tiles(nodes: DataFrame, keys: list[np.ndarray]) -> DataFrame:
     )
 
 
-def link_prints(nodes: DataFrame, bits: int, radius: int, tables: int | None, key_bits: int) -> DataFrame:
+def link_prints(nodes: DataFrame, radius: int, pieces: int | None = None) -> DataFrame:
     """``a, b``: links that connect all fingerprints of ``nodes(id, print)`` as the full set of near pairs does."""
-    tiles = _tiles(nodes, key_bits_of(bits, radius, tables, key_bits))
+    if pieces is None:
+        pieces = pieces_for(radius, nodes.count())
+    tiles = _tiles(nodes, keys_of(radius, pieces))
     sorted_tiles = tiles.repartition("part").sortWithinPartitions("part")
     return sorted_tiles.mapInArrow(_compared(radius), "a bigint, b bigint")
 
 
+def _grouped(
+    docs: DataFrame, id_col: str, text_col: str, words: int, radius: int, pieces: int | None
+) -> tuple[DataFrame, DataFrame]:
+    """``id, hash, print`` of every row; and ``print, kept_id, kept_hash``: the row of the smallest id in its group."""
+    rows = text_rows(docs, id_col, text_col).withColumn("hash", F.md5("text"))
+    prints = stored(fingerprints(rows, words), "prints")
+    # The row with the smallest id; of rows without an id, or with the same, that with the smallest hash.
+    first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "hash"))
+    bits = F.conv(F.hex("print"), 16, -10).cast("bigint")
+    nodes = stored(prints.groupBy("print").agg(first.alias("one")).select("print", "one", bits.alias("node")), "nodes")
+    groups = components(link_prints(nodes.select(F.col("node").alias("id"), "print"), radius, pieces))
+    named = nodes.join(groups, "node", "left").select("print", "one", F.coalesce("component", "node").alias("component"))
+    kept = named.groupBy("component").agg(F.min("one").alias("kept"))
+    chosen = named.join(kept, "component").select(
+        "print", F.col("kept.id").alias("kept_id"), F.col("kept.hash").alias("kept_hash")
+    )
+    return prints, chosen
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    words: int = 5,
-    lanes: int = 4,
-    radius: int = 52,
-    tables: int | None = 40,
-    key_bits: int = 12,
-    repeats: bool = False,
-) -> DataFrame:
-    """One row per document: ``doc_id, fingerprint, component_id``.
-
-    Links are by distance alone; ``drop_near_duplicates`` compares the shingles.
-    """
-    prints = stored(fingerprints(docs, id_col, text_col, words, lanes, repeats), "prints")
-    nodes = stored(prints.filter("id is not null").groupBy("print").agg(F.min("id").alias("node")), "nodes")
-    found = link_prints(nodes.select(F.col("node").alias("id"), "print"), 64 * lanes, radius, tables, key_bits)
-    groups = components(found)
-    named = nodes.join(groups, "node", "left").select(
-        "print", F.coalesce("component", "node").alias("component_id")
-    )
-    return prints.join(named, "print", "left").select(
-        F.col("id").alias("doc_id"),
-        F.lower(F.hex("print")).alias("fingerprint"),
-        F.when(F.col("id").isNotNull(), F.col("component_id")).alias("component_id"),
-    )
-
-
-def _sized(words: int, lanes: int) -> Callable:
-    """``id, text, hash`` to ``id, hash, print, node, n``; ``node`` is a digest of the set of ``n`` shingles."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            sets = [np.unique(shingle_hashes(x, words)) for x in batch.column(1).to_pylist()]
-            nodes = b"".join(hashlib.blake2b(x.tobytes(), digest_size=8).digest() for x in sets)
-            yield pa.record_batch(
-                [
-                    batch.column(0), batch.column(2), pa.array([fingerprint(x, lanes) for x in sets], pa.binary()),
-                    pa.array(np.frombuffer(nodes, np.int64)), pa.array([len(x) for x in sets], pa.int64()),
-                ],
-                ["id", "hash", "print", "node", "n"],
-            )
-
-    return run
-
-
-def _shingle_sets(words: int) -> Callable:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            sets = [np.unique(shingle_hashes(x, words)).tobytes() for x in batch.column(1).to_pylist()]
-            yield pa.record_batch([batch.column(0), pa.array(sets, pa.binary())], ["node", "shingles"])
-
-    return run
-
-
-def _similar(least: float) -> Callable:
-    """``a, b, left, right`` to the ``a, b`` whose sets have a Jaccard similarity of ``least`` or more."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            good = []
-            for left, right in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                x, y = np.frombuffer(left, np.uint64), np.frombuffer(right, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                good.append(both >= least * (len(x) + len(y) - both) - 1e-9)
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
-
-    return run
-
-
-def similar_links(
-    rows: DataFrame, nodes: DataFrame, words: int, least: float, bits: int, radius: int, tables: int, key_bits: int
+    words: int = 4,
+    radius: int = 4,
+    pieces: int | None = None,
 ) -> DataFrame:
-    """``a, b``: links between ``nodes(node, print, n, id, hash)`` that connect them as all similar candidates do.
-
-    ``rows`` are ``id, text, hash``. Blocks with more candidates than rows are compared twice:
-    their first pairs join what is alike, then all pairs between different groups are verified.
-    """
-    keys = key_bits_of(bits, radius, tables, key_bits)
-
-    def near(tiles: DataFrame, every: bool) -> DataFrame:
-        sorted_tiles = tiles.repartition("part").sortWithinPartitions("part", "id")
-        return stored(
-            sorted_tiles.mapInArrow(_compared(radius, _candidates(least, every)), "a bigint, b bigint, part bigint"),
-            "candidates",
-        )
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        pairs = stored(pairs.filter("a is not null").select("a", "b").distinct(), "pairs")
-        ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        named = nodes.join(ends, "node", "left_semi").select("node", F.col("id").alias("own"), F.col("hash").alias("own_hash"))
-        same = rows["id"].eqNullSafe(named["own"]) & (rows["hash"] == named["own_hash"])
-        sets = stored(
-            rows.join(named, same).select("node", "text")
-            .mapInArrow(_shingle_sets(words), "node bigint, shingles binary").dropDuplicates(["node"]),
-            "shingles",
-        )
-        left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
-        right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
-        full = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right")
-        return stored(full.mapInArrow(_similar(least), "a bigint, b bigint"), "similar")
-
-    plain = nodes.select(F.col("node").alias("id"), "print", "n", F.col("node").alias("label"))
-    found = near(_tiles(plain, keys), False)
-    links = verified(found)
-    dense = found.filter("part is not null").select("part").distinct()
-    if dense.isEmpty():
-        return links
-    labels = components(links).withColumnRenamed("node", "id")
-    grouped = stored(
-        plain.drop("label").join(labels, "id", "left")
-        .select("id", "print", "n", F.coalesce("component", "id").alias("label")),
-        "labelled",
+    """One row per document: ``doc_id, fingerprint, component_id``."""
+    prints, chosen = _grouped(docs, id_col, text_col, words, radius, pieces)
+    return prints.join(chosen, "print").select(
+        F.col("id").alias("doc_id"), F.lower(F.hex("print")).alias("fingerprint"), F.col("kept_id").alias("component_id")
     )
-    return links.unionByName(verified(near(_tiles(grouped, keys).join(dense, "part", "left_semi"), True)))
 
 
-def drop_near_duplicates(
-    docs: DataFrame,
-    words: int = 5,
-    least: float = 0.8,
-    lanes: int = 4,
-    radius: int = 72,
-    tables: int = 96,
-    key_bits: int = 10,
-) -> DataFrame:
-    """``docs`` with one row of each group of near copies: that of the smallest ``doc_id``.
-
-    Near copies have a Jaccard similarity of their different shingles of ``least`` or
-    more, counted exactly; radius and tables only choose the pairs that are counted.
-    """
-    text_hash = F.md5(F.coalesce("text", F.lit("")))
-    rows = text_rows(docs, "doc_id", "text").withColumn("hash", F.md5("text"))
-    sized = rows.mapInArrow(_sized(words, lanes), "id bigint, hash string, print binary, node bigint, n bigint")
-    prints = stored(sized, "prints")
-    first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "hash"))
-    nodes = stored(
-        prints.groupBy("node").agg(F.first("print").alias("print"), F.first("n").alias("n"), first.alias("one"))
-        .select("node", "print", "n", "one.id", "one.hash"),
-        "nodes",
-    )
-    groups = components(similar_links(rows, nodes, words, least, 64 * lanes, radius, tables, key_bits))
-    named = nodes.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    kept = named.groupBy("component").agg(first.alias("kept"))
-    chosen = named.join(kept, "component").select("node", F.col("kept.id").alias("kept_id"), F.col("kept.hash").alias("kept_hash"))
-    verdicts = prints.join(chosen, "node").select(
-        "id", "hash", (F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("hash") == F.col("kept_hash"))).alias("kept")
-    )
-    return without(docs, verdicts, text_hash)
+def drop_near_duplicates(docs: DataFrame, words: int = 4, radius: int = 4) -> DataFrame:
+    """``docs`` with one row of each group: that of the smallest ``doc_id``; one without an id only if all are."""
+    prints, chosen = _grouped(docs, "doc_id", "text", words, radius, None)
+    stays = F.col("id").eqNullSafe(F.col("kept_id")) & (F.col("hash") == F.col("kept_hash"))
+    verdicts = prints.join(chosen, "print").select("id", "hash", stays.alias("kept"))
+    return without(docs, verdicts, F.md5(F.coalesce("text", F.lit(""))))
