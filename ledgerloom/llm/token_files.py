@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import slices, text_rows
+from ledgerloom.llm.common import slices, stored, text_rows
 from ledgerloom.llm.tokens import encoder
 
 END_ID = 0
@@ -84,8 +84,8 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def layout(spark: SparkSession, path: str) -> DataFrame:
     """Per document of the files: ``doc_id, start, n_tokens, ids_crc32``; start counts all ids before it."""
-    rows = read(spark, path).mapInArrow(
-        _digest, "part int, doc_id bigint, n_tokens bigint, ids_crc32 bigint"
+    rows = stored(
+        read(spark, path).mapInArrow(_digest, "part int, doc_id bigint, n_tokens bigint, ids_crc32 bigint"), "digests"
     )
     totals = rows.groupBy("part").agg(F.sum("n_tokens").alias("total"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per file

@@ -3,9 +3,10 @@
 A text is cut before single spaces and around single line ends that stand between
 two other characters. Neither tokenizer forms a token across such a place, so the
 ids of the pieces, joined, are the ids of the text (the tests compare both). Pieces are encoded once per worker and
-remembered up to a fixed number; unknown pieces are encoded many at a time. A
-closing full stop or comma after a letter is a token of its own and is remembered
-apart from its word; A-Z are folded first if the tokenizer folds case itself.
+remembered up to a fixed number; unknown pieces are encoded many at a time. The signs
+that close a word are tokens of their own and are remembered
+apart from it; A-Z are folded first if the tokenizer folds case itself. A text
+that holds the name of an added token is encoded by the library as a whole.
 """
 
 from __future__ import annotations
@@ -25,7 +26,8 @@ JOINED_CHARS = 1 << 15
 _CUTS = re.compile(r"(?<=\S)(?=[ \n]\S)|(?<=\S\n)(?=\S)")
 _DOUBLE = re.compile(r"[ \n\0][\s\0]|\s[ \n\0]")
 _PLAIN = re.compile(r" [^\W\d_]+").fullmatch
-_LATIN = re.compile(r"(?!İ)[A-Za-zÀ-ɏ]").fullmatch
+#: A word that ends in a Latin letter, and ASCII signs other than apostrophes after it.
+_CLOSED = re.compile(r"(.*(?!İ)[A-Za-zÀ-ɏ])([!-&(-/:-@\[-`{-~]+)", re.DOTALL).fullmatch
 
 
 class Encoder:
@@ -33,21 +35,23 @@ class Encoder:
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their names in a text are ordinary text
         self.known: dict[str, bytes] = {}
         self.folds = '"Lowercase"' in json.dumps(json.loads(self.tokenizer.to_str())["normalizer"])
-        self.marks = {x: self._alone(x) for x in ".,"}
+        self.names = [x.content.lower() for x in self.tokenizer.get_added_tokens_decoder().values()]
 
     def _alone(self, piece: str) -> bytes:
         return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _learn(self, pieces: Iterable[str]) -> None:
         """Pieces of letters are encoded joined and parted by their offsets, all others alone."""
-        known, plain, marked, stems = self.known, [], [], set()
+        known, plain, closed, stems = self.known, [], [], set()
         for piece in pieces:
-            if piece[-1:] in self.marks and _LATIN(piece[-2:-1]):
-                marked.append(piece)
-                stems.add(piece[:-1])
+            found = _CLOSED(piece)
+            if found:
+                stem, signs = found.groups()
+                closed.append((piece, stem, signs))
+                stems.add(stem)
+                stems.add(signs)
             else:
                 stems.add(piece)
         for piece in stems.difference(known):
@@ -66,25 +70,38 @@ class Encoder:
             for piece, end in zip(part, at.tolist(), strict=True):
                 known[piece] = ids[begin:end]
                 begin = end
-        for piece in marked:
-            known[piece] = known[piece[:-1]] + self.marks[piece[-1]]
+        for piece, stem, signs in closed:
+            known[piece] = known[stem] + known[signs]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = []
+        out: list[bytes] = []
+        if len(self.known) > REMEMBERED:
+            self.known = {}
+        get = self.known.get
+        waiting: list[tuple[int, list[str]]] = []
+        unknown: set[str] = set()
         for text in texts:
+            if "<" in text and any(name in text.lower() for name in self.names):
+                out.append(self._alone(text))
+                continue
             if self.folds:
                 text = text.encode().lower().decode()
             if "\0" in text or _DOUBLE.search(text):
-                cut.append(_CUTS.split(text))
+                pieces = _CUTS.split(text)
             else:
-                cut.append(text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0"))
-        if len(self.known) > REMEMBERED:
-            self.known = {}
-        known = self.known
-        unknown = set().union(*cut).difference(known) if cut else ()
+                pieces = text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
+            ids = list(map(get, pieces))
+            if None in ids:
+                unknown.update(p for p, x in zip(pieces, ids, strict=True) if x is None)
+                waiting.append((len(out), pieces))
+                out.append(b"")
+            else:
+                out.append(b"".join(ids))
         if unknown:
             self._learn(unknown)
-        return [b"".join(map(known.__getitem__, pieces)) for pieces in cut]
+            for at, pieces in waiting:
+                out[at] = b"".join(map(self.known.__getitem__, pieces))
+        return out
 
 
 _ENCODERS: dict[str, Encoder] = {}

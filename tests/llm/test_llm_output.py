@@ -15,15 +15,23 @@ BYTES, WORDS = (public_tokenizers.path(x) for x in ("byte_bpe_50k.json", "word_b
 def test_remembered_words_change_no_id(path):
     draw = random.Random(1)
     parts = ["a", "B", "é", "é", " ", "  ", "   ", "\n", "\t", "\r\n", "\xa0", "\x1c", "\x85", "'s", "'ll", "12", ".", ",", "?!",
-             "<|endoftext|>", "你好", "😀", "İ", "Σ", "ß", "\0", "_", "Word", "ﬁ", "٣", "́", "a.", "क़,"]
+             "<|endoftext|>", "<|ENDoftext|>", "<|startoftext|>", "$$$", "x.!?", "—", "_-", "你好", "😀", "İ", "Σ", "ß", "\0", "_", "Word", "ﬁ", "٣", "́", "a.", "क़,"]
     texts = ["".join(draw.choices(parts, k=draw.randint(0, 14))) for _ in range(6000)]
     plain = Tokenizer.from_file(path)
-    plain.encode_special_tokens = True
     want = [np.array(x.ids, "<u4").tobytes() for x in plain.encode_batch(texts, add_special_tokens=False)]
     encoder = tokens.Encoder(path)
     assert encoder.encode(texts) == want and encoder.encode(texts[::-1]) == want[::-1]
 
 
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_names_of_added_tokens_are_those_tokens(path):
+    plain = Tokenizer.from_file(path)
+    for name in [x.content for x in plain.get_added_tokens_decoder().values()] + ["<|startoftext|>"]:
+        texts = [name, f"a {name} b", f"{name} b", f"a {name}", name * 2, f"wo{name}rd", f"a {name.upper()} b", f"a <{name[2:]}"]
+        want = [np.array(plain.encode(x, add_special_tokens=False).ids, "<u4").tobytes() for x in texts]
+        assert tokens.Encoder(path).encode(texts) == want
+
+
 def ids_of(path, text):
     return Tokenizer.from_file(path).encode(text or "", add_special_tokens=False).ids + [0]
 
