@@ -9,7 +9,9 @@ per host in Spark, and every page of a host is extracted again at the winning
 path; a page without that path, or without a host, uses its own best container.
 
 Inside the container, menus, headers, footers, sidebars, notices, adverts, forms,
-scripts, styles and reader comments are left out, by tag, role or class. Block
+scripts, styles and reader comments are left out, by tag, role or class. A class
+is judged word by word: a word of content does not cancel one of menus, footers or
+comments in the same compound (``article-footer``, ``comment-body``). Block
 tags part the text; character references are decoded, white space in a block
 becomes one space, empty blocks vanish and blocks are joined by two line ends.
 
@@ -51,14 +53,22 @@ BLOCKS = frozenset(
 CONTAINERS = frozenset("article body div main section td blockquote center".split())
 BOILERPLATE_TAGS = frozenset("nav footer aside form menu dialog button select head search".split())
 BOILERPLATE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
-#: Words of classes and ids that mark boilerplate, and words that mark content all the same.
-BOILERPLATE_WORDS = frozenset(
-    "nav navbar navigation menu header masthead topbar footer sidebar aside notice notices cookie cookies consent gdpr"
-    " banner ad ads advert adverts advertisement sponsor sponsored promo promotion share sharing social related recommended"
-    " comment comments disqus replies form newsletter subscribe signup login popup modal overlay breadcrumb breadcrumbs"
-    " pagination pager widget toolbar copyright legal disclaimer skip".split()
+#: Words of classes and ids that mark boilerplate wherever they stand in a compound,
+SURE_WORDS = frozenset(
+    "nav navbar navigation menu masthead topbar footer sidebar cookie cookies consent gdpr ad ads advert adverts"
+    " advertisement sponsor sponsored promo related recommended comment comments disqus replies newsletter signup login"
+    " popup modal overlay breadcrumb breadcrumbs pagination pager toolbar disclaimer".split()
 )
+#: words that do so as its last word or without a word of content,
+LIKELY_WORDS = frozenset(
+    "header aside notice notices banner promotion share sharing social form subscribe widget copyright legal skip".split()
+)
+#: words of content,
 CONTENT_WORDS = frozenset("content article post entry story body main text".split())
+#: words that never are content, whatever else the classes say,
+COMMENT_WORDS = frozenset("comment comments disqus replies".split())
+#: and first words of classes that only say what a page has or is.
+STATE_WORDS = frozenset("has no is with without category tag type status format".split())
 
 
 @dataclass
@@ -85,10 +95,33 @@ def _is_boilerplate(tag: str, attributes: dict[str, str], parent: Node | None) -
         while parent and parent.tag not in ("article", "main"):
             parent = parent.parent
         return parent is None
-    if tag in ("article", "body", "html", "main"):
+    if tag in ("body", "html", "main"):
         return False
-    words = set(re.split(r"[^a-z]+", f"{attributes.get('class', '')} {attributes.get('id', '')}".lower()))
-    return bool(words & BOILERPLATE_WORDS) and not words & CONTENT_WORDS
+    named = [_judged_class(x) for x in (*attributes.get("class", "").split(), *attributes.get("id", "").split())]
+    if "comment" in named or "sure" in named:
+        return True
+    return "likely" in named and "content" not in named
+
+
+def _judged_class(name: str) -> str:
+    """What one class or id says: ``comment``, ``sure`` or ``likely`` boilerplate, ``content`` or nothing.
+
+    Words are parted at anything but letters and at capitals inside. A word of comments decides wherever it
+    stands, other boilerplate by itself or beside no class of content.
+    """
+    words = re.findall(r"[a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", name).lower())
+    if not words or words[0] in STATE_WORDS or {"with", "without"} & set(words):
+        return ""
+    if COMMENT_WORDS & set(words):
+        return "comment"
+    if len(words) == 1 and words[0] in SURE_WORDS:
+        return "sure"
+    content = bool(CONTENT_WORDS & set(words))
+    if SURE_WORDS & set(words):
+        return "sure" if content else "likely"
+    if LIKELY_WORDS & set(words) and (not content or words[-1] in LIKELY_WORDS and words[-1] != "header"):
+        return "likely"
+    return "content" if content else ""
 
 
 def _step(tag: str, attributes: dict[str, str]) -> str:

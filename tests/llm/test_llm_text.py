@@ -157,3 +157,26 @@ def test_text_around_the_best_container_stays():
         assert page.text(page.best().path) == want
     page = html_text.Page(f"<body><article><section class=a>{body}</section><section class=b><p>More</p></section></article></body>")
     assert page.text(None).endswith("\n\nMore")
+
+
+@pytest.mark.parametrize("name", [
+    "comment-body", "article-footer", "content-nav", "related-story", "postComments", "sidebar-content", "comment post",
+    "cookie-text", "content-promotion", "main sidebar", "sponsored-content", "newsletter-form",
+])
+@pytest.mark.parametrize("tag", ["div", "section", "article"])
+def test_compounds_of_boilerplate_are_left_out(tag, name):
+    body = "<p>" + "many words in here, " * 30 + "</p>"
+    inner = f"<{tag} class='{name}'><p>Leave this out</p><{tag}><p>and this</p></{tag}></{tag}>"
+    page = html_text.Page(f"<body><article class=post><h1>Title</h1>{body}{inner}<p>Last</p></article>{inner}</body>")
+    assert page.text(page.best().path) == page.text(None) == "Title\n\n" + " ".join(["many words in here,"] * 30) + "\n\nLast"
+    assert html_text.Page(f"<body><div>{body}</div>{inner.replace('class', 'id')}</body>").text(None) != ""
+
+
+@pytest.mark.parametrize("name", [
+    "has-sidebar", "post comments-off-without", "article-header", "main-content sidebar-right", "category-related post",
+    "entry-header", "content", "layout-with-sidebar", "story-body", "type-post tag-advertisement", "adventure loading",
+])
+def test_classes_of_content_stay(name):
+    body = "<p>" + "many words in here, " * 30 + "</p>"
+    page = html_text.Page(f"<body><div class='{name}'><h1>Title</h1>{body}</div></body>")
+    assert page.text(page.best().path).startswith("Title\n\nmany words")
