@@ -11,17 +11,23 @@ direction.
 Equal vectors are compared once: rows are grouped by label and vector first, and
 the groups' sizes enter the link counts. A filter's group of more than ``TILE``
 vectors is dealt into parts, and every two parts meet in a task of their own.
+Such a tile emits no pairs: for each vector how many links it has there, and a
+spanning forest of them. A link is counted in the smallest filter that both
+vectors have, so once.
 
 Null labels, null or zero vectors, and vectors with null or non-finite components
 link with nothing. Vectors of other lengths are compared with their own length
-only. Rows that repeat an id each count as another vector; rows without an id
-get no component. An empty table gives an empty result; other columns are ignored.
+only. Rows that repeat an id each are a vector of their own. A row without an id
+counts and links like others; its component is the smallest id that it reaches, null
+if there is none, and it is kept only then. An empty table gives an empty result;
+other columns are ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -50,6 +56,7 @@ class Caps:
     words: int = 64
     threshold: float = 3.0
 
+    @lru_cache(maxsize=64)  # noqa: B019  (one of few equal, immutable objects)
     def codes(self, dims: int, number: int) -> tuple[np.ndarray, list[np.ndarray]]:
         """The rotation and the codewords of one code for vectors of so many dimensions."""
         draw = np.random.default_rng([SEED, dims, number])
@@ -58,7 +65,10 @@ class Caps:
         for own in np.array_split(np.arange(dims), self.parts):
             code = draw.standard_normal((len(own), self.words))
             norm = np.linalg.norm(code, axis=0, keepdims=True)
-            codes.append(code / np.where(norm == 0, 1, norm) * np.sqrt(len(own)))
+            code = code / np.where(norm == 0, 1, norm) * np.sqrt(len(own))
+            if len(own) < 2:  # one dimension has two unit vectors, none has one
+                code = np.unique(code, axis=1) if len(own) else code[:, :1]
+            codes.append(code)
         return turn, codes
 
     def decode(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -102,34 +112,100 @@ def _filters(caps: Caps) -> Callable:
                     rows = np.flatnonzero(sizes == dims)
                     unit = _unit(np.array([vectors[i] for i in rows], np.float64))
                     at, number = caps.decode(unit)
+                    order = np.lexsort((number, at))
+                    at, number = at[order], number[order]
+                    ends = np.searchsorted(at, np.arange(len(rows) + 1)).astype(np.int32)
+                    lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(number.astype(np.int32)))
                     taken = part.take(pa.array(rows[at]))
                     yield pa.record_batch(
-                        [pa.array(number), *taken.columns], ["filter", *part.schema.names]
+                        [pa.array(number), lists.take(pa.array(at)), *taken.columns], ["filter", "filters", *part.schema.names]
                     )
 
     return run
 
 
+def _marks(filters: list[np.ndarray], below: int) -> np.ndarray:
+    """A bit per vector and filter for those below a number that at least two of the vectors have."""
+    row = np.repeat(np.arange(len(filters)), [len(x) for x in filters])
+    number = np.concatenate(filters)
+    row, number = row[number < below], number[number < below]
+    _, where, n = np.unique(number, return_inverse=True, return_counts=True)
+    bit = (np.cumsum(n > 1) - 1)[where]
+    row, bit = row[n[where] > 1], bit[n[where] > 1]
+    marks = np.zeros((len(filters), int(np.count_nonzero(n > 1)) // 64 + 1), np.uint64)
+    np.bitwise_or.at(marks, (row, bit // 64), np.uint64(1) << (bit % 64).astype(np.uint64))
+    return marks
+
+
+def _roots(count: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The smallest vector that each one reaches."""
+    root = np.arange(count)
+    while True:
+        low = root.copy()
+        np.minimum.at(low, a, root[b])
+        np.minimum.at(low, b, root[a])
+        low = low[low]
+        if (low == root).all():
+            return root
+        root = low
+
+
+def _links(unit: np.ndarray, least: float, part: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Linked pairs of one tile; pairs inside a part belong to that part's own tile."""
+    ends: list[np.ndarray] = [np.empty((2, 0), np.int64)]
+    mixed = part.min() != part.max()
+    for start in range(0, len(unit), TILE):
+        a, b = np.nonzero(unit[start : start + TILE] @ unit.T >= least)
+        a += start
+        kept = (a < b) & ((part[a] != part[b]) | (not mixed))
+        ends.append(np.stack([a[kept], b[kept]]))
+    a, b = np.concatenate(ends, axis=1)
+    return a, b
+
+
+def _counts(a: np.ndarray, b: np.ndarray, copies: np.ndarray, marks: np.ndarray) -> np.ndarray:
+    """Rows linked with each vector by pairs without a common mark."""
+    counted = np.zeros(len(copies), np.int64)
+    for at in range(0, len(a), 1 << 16):
+        x, y = a[at : at + (1 << 16)], b[at : at + (1 << 16)]
+        fresh = np.ones(len(x), bool)
+        for word in range(marks.shape[1]):
+            fresh &= (marks[x, word] & marks[y, word]) == 0
+        np.add.at(counted, x[fresh], copies[y[fresh]])
+        np.add.at(counted, y[fresh], copies[x[fresh]])
+    return counted
+
+
 def _verified(least: float) -> Callable:
-    """Rows sorted by tile to linked pairs."""
+    """Rows sorted by tile to links counted and one edge of the forest per vector."""
 
     def pairs(table: pa.Table) -> Iterator[pa.RecordBatch]:
-        tile, ids = table["tile"].to_numpy(), table["node"].to_numpy()
-        vectors = table["vector"].combine_chunks()
+        column = lambda name: table[name].to_numpy()
+        tile, check, filters = column("tile"), column("check"), column("filter")
+        nodes, part, copies = column("node"), column("part"), column("copies")
+        lists, vectors = table["filters"].combine_chunks(), table["vector"].combine_chunks()
+        own, number = lists.offsets.to_numpy(), lists.values.to_numpy()
         at = vectors.offsets.to_numpy()
         flat = vectors.values.to_numpy().astype(np.float64)
-        for rows in np.split(np.arange(len(tile)), np.flatnonzero(tile[1:] != tile[:-1]) + 1):
+        new = (tile[1:] != tile[:-1]) | (check[1:] != check[:-1]) | (filters[1:] != filters[:-1])
+        for rows in np.split(np.arange(len(tile)), np.flatnonzero(new) + 1):
             if len(rows) < 2:
                 continue
             unit = _unit(np.stack([flat[at[i] : at[i + 1]] for i in rows]))
-            for start in range(0, len(rows), TILE):
-                near = unit[start : start + TILE] @ unit.T
-                a, b = np.nonzero(near >= least)
-                own = ids[rows]
-                a, b = own[a + start], own[b]
-                kept = a < b
-                if kept.any():
-                    yield pa.record_batch([pa.array(a[kept]), pa.array(b[kept])], ["a", "b"])
+            a, b = _links(unit, least, part[rows])
+            if not len(a):
+                continue
+            used, where = np.unique(np.concatenate([a, b]), return_inverse=True)
+            a, b, rows = where[: len(a)], where[len(a) :], rows[used]
+            marks = _marks([number[own[i] : own[i + 1]] for i in rows], int(filters[rows[0]]))
+            counted, root = _counts(a, b, copies[rows], marks), _roots(len(rows), a, b)
+            edge = root != np.arange(len(rows))
+            kept = edge | (counted > 0)
+            if kept.any():
+                node = nodes[rows]
+                yield pa.record_batch(
+                    [pa.array(node[kept]), pa.array(node[root][kept]), pa.array(counted[kept])], ["a", "b", "others"]
+                )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -181,14 +257,18 @@ def near_duplicates(
     good = rows.filter("vector is not null").withColumn("hash", F.md5(F.to_json(F.struct("label", "vector"))))
     nodes = stored(
         good.groupBy("hash").agg(
-            F.min("id").alias("node"), F.count(F.lit(1)).alias("copies"),
+            F.min("id").alias("least_id"), F.count(F.lit(1)).alias("copies"),
             F.first("label").alias("label"), F.first("vector").alias("vector"),
-        ),
+        ).withColumn("node", F.monotonically_increasing_id()),  # fixed once stored
         "vector-nodes",
     )
-    met = nodes.filter("node is not null").select("node", "label", "vector").mapInArrow(
-        _filters(caps), f"filter bigint, node bigint, label string, vector array<{element.simpleString()}>"
-    ).withColumn("block", F.xxhash64("filter", "label", F.size("vector")))
+    met = nodes.select("node", "copies", "label", "vector").mapInArrow(
+        _filters(caps),
+        f"filter bigint, filters array<int>, node bigint, copies bigint, label string, vector array<{element.simpleString()}>",
+    ).withColumns({
+        "block": F.xxhash64("filter", "label", F.size("vector")),
+        "check": F.xxhash64(F.lit(SEED), F.size("vector"), "label", "filter"),
+    })
     sizes = met.groupBy("block").agg(F.ceil(F.count(F.lit(1)) / TILE).alias("parts"), F.count(F.lit(1)).alias("n"))
     mine = F.pmod(F.xxhash64("node"), F.col("parts"))
     tiles = F.transform(
@@ -196,32 +276,25 @@ def near_duplicates(
         lambda other: F.xxhash64("block", F.least(mine, other), F.greatest(mine, other)),
     )
     dealt = met.join(sizes.filter("n > 1").select("block", "parts"), "block").select(
-        F.explode(tiles).alias("tile"), "node", "vector"
+        F.explode(tiles).alias("tile"), "check", "filter", "filters", "node", "copies", mine.alias("part"), "vector"
     )
     links = stored(
-        dealt.repartition("tile").sortWithinPartitions("tile")
-        .mapInArrow(_verified(least), "a bigint, b bigint").distinct(),
+        dealt.repartition("tile").sortWithinPartitions("tile", "check", "filter")
+        .mapInArrow(_verified(least), "a bigint, b bigint, others bigint"),
         "vector-links",
     )
-    sized = nodes.select("node", "copies")
-    ends = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    others = (
-        ends.join(sized.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.sum("copies").alias("others"))
-        .withColumnRenamed("a", "node")
-    )
-    named = (
-        nodes.select("hash", "node", "copies").join(others, "node", "left").join(components(links), "node", "left")
-        .select(
-            "hash", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"),
-            F.coalesce("component", "node").alias("component_id"),
-        )
+    others = links.groupBy("a").agg(F.sum("others").alias("others")).withColumnRenamed("a", "node")
+    groups = nodes.select("hash", "node", "least_id", "copies").join(
+        components(links.filter("a <> b").select("a", "b")), "node", "left"
+    ).withColumn("component", F.coalesce("component", "node"))
+    smallest = groups.groupBy("component").agg(F.min("least_id").alias("component_id"))
+    named = groups.join(smallest, "component").join(others, "node", "left").select(
+        "hash", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), "component_id"
     )
     found = good.select("id", "hash").join(named, "hash").drop("hash")
     alone = rows.filter("vector is null").select(
         "id", F.lit(0).cast("bigint").alias("n_links"), F.col("id").alias("component_id")
     )
     return found.unionByName(alone).select(
-        F.col("id").alias("vec_id"), "n_links",
-        F.when(F.col("id").isNotNull(), F.col("component_id")).alias("component_id"),
-        F.coalesce(F.col("id") == F.col("component_id"), F.lit(True)).alias("kept"),
+        F.col("id").alias("vec_id"), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept")
     )

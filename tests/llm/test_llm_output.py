@@ -186,3 +186,46 @@ def test_filters_find_pairs_at_the_threshold():
         row, number = vectors.Caps().decode(x)
         sets.append([set(number[row == i].tolist()) for i in range(1000)])
     assert np.mean([not x.isdisjoint(y) for x, y in zip(*sets, strict=True)]) >= 0.99
+
+
+def test_vectors_with_repeated_and_null_ids(spark):
+    draw = np.random.default_rng(9)
+    axes = np.eye(64)
+    near = lambda i: (axes[i] + 0.02 * draw.standard_normal(64) / 8)
+    rows = [(5, axes[0]), (5, axes[1]), (9, near(0)), (3, near(1)), (None, near(2)), (7, axes[2]), (None, axes[3]),
+            (None, near(3)), (None, axes[4]), (None, axes[4]), (8, axes[5]), (8, axes[5]), (6, axes[6]), (6, -axes[6])]
+    frame = spark.createDataFrame([(i, v.astype(np.float32).tolist(), 1) for i, v in rows], "vec_id long, embedding array<float>, label int")
+    got = sorted(map(tuple, vectors.near_duplicates(frame).collect()), key=repr)
+    assert got == sorted([
+        (5, 1, 5, True), (9, 1, 5, False), (5, 1, 3, False), (3, 1, 3, True), (None, 1, 7, False), (7, 1, 7, True),
+        (None, 1, None, True), (None, 1, None, True), (None, 1, None, True), (None, 1, None, True),
+        (8, 1, 8, True), (8, 1, 8, True), (6, 0, 6, True), (6, 0, 6, True),
+    ], key=repr)
+
+
+def test_a_tile_counts_each_link_once():
+    """Over all tiles of parts and filters, each link is counted in one and joined by the forests."""
+    draw = np.random.default_rng(10)
+    centres = draw.standard_normal((5, 64))
+    unit = vectors._unit(centres[draw.integers(0, 5, 90)] + draw.standard_normal((90, 64)) * 0.2)
+    row, number = vectors.Caps().decode(unit)
+    lists = [np.sort(number[row == i]) for i in range(90)]
+    copies, part = draw.integers(1, 4, 90), draw.integers(0, 3, 90)
+    counted, low = np.zeros(90, int), np.arange(90)
+    for wanted in np.unique(number):
+        for one in range(3):
+            for other in range(one, 3):
+                rows = np.array([i for i in range(90) if wanted in lists[i] and part[i] in (one, other)], int)
+                if len(rows) < 2 or one != other and len(set(part[rows])) == 1:
+                    continue
+                a, b = vectors._links(unit[rows], 0.93, part[rows])
+                counted[rows] += vectors._counts(a, b, copies[rows], vectors._marks([lists[i] for i in rows], int(wanted)))
+                root = rows[vectors._roots(len(rows), a, b)]
+                for i, j in zip(rows, root, strict=True):
+                    low[low == max(low[i], low[j])] = min(low[i], low[j])
+    near = unit @ unit.T >= 0.93
+    np.fill_diagonal(near, False)
+    met = np.array([[not set(x).isdisjoint(y) for y in lists] for x in lists])
+    assert counted.tolist() == ((near & met) @ copies).tolist() and counted.any()
+    whole = vectors._roots(90, *np.nonzero(near & met))
+    assert low.tolist() == whole.tolist()
