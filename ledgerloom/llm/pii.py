@@ -16,6 +16,12 @@ values get equal pseudonyms in all documents, however they are punctuated.
 * e-mail addresses and credentials have no number to permute: a keyed digest
   takes their place (for credentials of the same length)
 
+Numbers beside numbers: card numbers are sought last, in what other kinds left. A run
+of digit groups parted by single blanks or hyphens is a card number as a whole or,
+else, holds card numbers as successive groups of it: those with a length and first
+digits that issuers use, taken from the left, the longest first. Of an IBAN candidate
+that fails as a whole, its country's length of it is tried.
+
 Nothing else in a text changes. Null text stays null, empty text empty, and both
 count 0 replacements. Rows are treated one by one, so repeated rows and rows
 without an id agree. Empty tables give empty results; other columns are ignored.
@@ -42,11 +48,24 @@ PHONE = (
     r"(?<![\w+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\d)"
     r"|(?<![\w.(-])(?:1[ .-])?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![\w-])"
 )
-CARD = r"(?<![\d.+-])\d(?:[ -]?\d){12,18}(?!\d)"
 CANDIDATE = (
     f"{EMAIL}|(?=[APSTapst])(?:{CREDENTIAL})|(?=[A-Z]){IBAN}"
-    f"|(?=[0-9+(])(?:{'|'.join((IPV4, DATE, SSN, PHONE, CARD))})"
+    f"|(?=[0-9+(])(?:{'|'.join((IPV4, DATE, SSN, PHONE))})"
+)
+#: At least 13 digits in groups; the run goes on as long as there are digits, blanks and hyphens.
+RUN = r"(?:(?<![\d.+-])|(?<=[A-Za-z][.-]))(?=\d(?:[ -]?\d){12})[\d -]{13,}+"
+CARD = r"^\d(?:[ -]?\d){12,18}$"
+#: Lengths and first digits that card issuers use.
+ISSUED = (
+    r"^(?:4\d{12}(?:\d{3}){0,2}|5[1-5]\d{14}|2[2-7]\d{14}|3[47]\d{13}|3[0689]\d{12}|35\d{14}|6(?:011|4[4-9]|5)\d{12,13}|62\d{14,17})$"
 )
+#: Lengths of IBANs by country, fixed by its registry.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FO GL NL", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS", 23: "AE GI IL IQ TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "PT",
+    26: "IS TR", 27: "FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU",
+    31: "MT SC", 32: "LC",
+}
 #: Texts without any of these have no candidate.
 SIGNS = "[0-9@=:]"
 
@@ -131,14 +150,75 @@ def _luhn_sum(digits: Column, first_doubled: int) -> Column:
     return F.aggregate(_places(F.length(digits)), F.lit(0), step)
 
 
-def _card(key: str, text: Column) -> Column:
+def _is_card(digits: Column) -> Column:
+    return (_luhn_sum(digits, 1) % 10 == 0) & digits.rlike("[1-9]")
+
+
+def _new_card(key: str, text: Column) -> Column:
     def new(d: Column) -> Column:
         first, inner = F.substr(d, F.lit(1), F.lit(1)), F.substr(d, F.lit(2), F.length(d) - 2)
         payload = F.concat(first, _permuted_digits(key, "card", inner))
         return F.concat(payload, ((10 - _luhn_sum(payload, 0) % 10) % 10).cast("string"))
 
-    valid = lambda d: (_luhn_sum(d, 1) % 10 == 0) & d.rlike("[1-9]")
-    return _apply(_digits(text), lambda d: F.when(valid(d), _refilled(text, new(d))))
+    return _apply(_digits(text), lambda d: _refilled(text, new(d)))
+
+
+def _cards_of_run(key: str, run: Column) -> Column:
+    """``struct(text, n)``: a run of digit groups with its card numbers replaced, and how many there are."""
+    text = F.rtrim(run)
+    tail = F.substr(run, F.length(text) + 1)
+    whole = text.rlike(CARD) & _apply(_digits(text), _is_card)
+    found = lambda out, n: F.struct(out.alias("text"), n.cast("bigint").alias("n"))
+    return F.when(whole, found(F.concat(_new_card(key, text), tail), F.lit(1))).otherwise(
+        _apply(F.split(run, r"(?<=\d)(?=[ -])|(?<=[ -])(?=\d)"), lambda tokens: _apply(
+            _spans(tokens), lambda spans: found(_respanned(key, tokens, spans), F.size(spans))
+        ))
+    )
+
+
+def _joined(tokens: Column, start: Column, size: Column) -> Column:
+    return F.array_join(F.slice(tokens, start, size), "")
+
+
+def _spans(tokens: Column) -> Column:
+    """``at, size`` of the card numbers among groups (odd places) and what parts them, from the left."""
+
+    def longest(at: Column) -> Column:
+        # a group has a digit at least, so a number has 19 groups at most
+        sizes = F.filter(
+            F.sequence(F.least(F.lit(37), F.size(tokens) - at + 1 - F.pmod(F.size(tokens) - at, F.lit(2))), F.lit(1), F.lit(-2)),
+            lambda n: _apply(_joined(tokens, at, n), lambda x: F.length(x).between(13, 37) & x.rlike(CARD) & _apply(
+                _digits(x), lambda d: d.rlike(ISSUED) & _is_card(d))),
+        )
+        return F.when(F.element_at(tokens, at).rlike("^[2-6]"), F.get(sizes, F.lit(0)))
+
+    starts = F.sequence(F.lit(1), F.size(tokens), F.lit(2))
+    possible = F.filter(
+        F.transform(starts, lambda at: F.struct(at.alias("at"), longest(at).alias("size"))), lambda x: x["size"].isNotNull()
+    )
+    none = F.array().cast("array<struct<at:int,size:int>>")
+    return F.aggregate(possible, none, lambda taken, x: F.when(
+        (F.size(taken) == 0) | (F.get(taken, F.size(taken) - 1)["at"] + F.get(taken, F.size(taken) - 1)["size"] <= x["at"]),
+        F.concat(taken, F.array(x)),
+    ).otherwise(taken))
+
+
+def _respanned(key: str, tokens: Column, spans: Column) -> Column:
+    end = lambda n: F.when(n > 0, F.get(spans, n - 1)["at"] + F.get(spans, n - 1)["size"]).otherwise(1)
+    parts = F.transform(spans, lambda x, n: F.concat(
+        _joined(tokens, end(n), x["at"] - end(n)), _new_card(key, _joined(tokens, x["at"], x["size"]))
+    ))
+    return F.concat(F.array_join(parts, ""), _joined(tokens, end(F.size(spans)), F.size(tokens)))
+
+
+def _cards(key: str, text: Column) -> Column:
+    """``struct(text, n)``: ``text`` with its card numbers replaced, and how many there are."""
+    runs = F.transform(F.regexp_extract_all(text, F.lit(RUN), F.lit(0)), lambda x: _cards_of_run(key, x))
+    none = F.struct(text.alias("text"), F.lit(0).cast("bigint").alias("n"))
+    return F.when(~text.rlike(RUN), none).otherwise(_apply(runs, lambda new: F.struct(
+        F.array_join(F.zip_with(F.split(text, RUN), new, lambda gap, x: F.concat(gap, F.coalesce(x["text"], F.lit("")))), "").alias("text"),
+        F.aggregate(new, F.lit(0).cast("bigint"), lambda n, x: n + x["n"]).alias("n"),
+    )))
 
 
 def _mod97(text: Column) -> Column:
@@ -170,6 +250,19 @@ def _iban(key: str, text: Column) -> Column:
     return _apply(bare, lambda x: F.when(valid(x), _refilled(text, new(x))))
 
 
+def _iban_and_rest(key: str, text: Column) -> Column:
+    """``struct(new, rest)`` of a candidate in groups of four that goes on after its country's length."""
+    size = F.lit(0)
+    for length, countries in IBAN_LENGTHS.items():
+        size = F.when(F.substr(text, F.lit(1), F.lit(2)).isin(countries.split()), length + (length - 1) // 4).otherwise(size)
+    blank = lambda at: F.substr(text, at, F.lit(1)) == " "
+    return _apply(size, lambda n: F.when(
+        (n > 0) & blank(F.lit(5)) & blank(n + 1),
+        _apply(_iban(key, F.substr(text, F.lit(1), n)), lambda new: F.when(
+            new.isNotNull(), F.struct(new.alias("new"), F.substr(text, n + 1).alias("rest")))),
+    ))
+
+
 def _ipv4(key: str, text: Column) -> Column:
     def new(o: Column) -> Column:
         pair = feistel(key, "ipv4", o[0] * 256 + o[1], o[2] * 256 + o[3], F.lit(65536), F.lit(65536))
@@ -267,7 +360,7 @@ def _credential(key: str, text: Column) -> Column:
 
 
 def pseudonym(key: str, text: Column) -> Column:
-    """The pseudonym of a candidate; null if it fails its kind's check."""
+    """The pseudonym of a candidate other than a card number; null if it fails its kind's check."""
     return (
         F.when(text.contains("@"), _email(key, text))
         .when(text.rlike(f"^(?:{CREDENTIAL})$"), _credential(key, text))
@@ -275,8 +368,7 @@ def pseudonym(key: str, text: Column) -> Column:
         .when(text.rlike(r"^\d{1,3}(?:\.\d{1,3}){3}$"), _ipv4(key, text))
         .when(text.rlike(r"^(?:\d{4}-\d{2}-\d{2}|\d{1,2}([/.])\d{1,2}\1\d{4})$"), _date(key, text))
         .when(text.rlike(r"^\d{3}-\d{2}-\d{4}$"), _ssn(key, text))
-        .when(text.rlike(f"^(?:{PHONE})$"), _phone(key, text))
-        .otherwise(_card(key, text))
+        .otherwise(_phone(key, text))
     )
 
 
@@ -288,15 +380,29 @@ def pseudonymize(docs: DataFrame, key: str, id_col: str = "doc_id", text_col: st
             F.col(text_col).rlike(SIGNS), F.regexp_extract_all(F.col(text_col), F.lit(CANDIDATE), F.lit(0))
         ).otherwise(F.array().cast("array<string>")).alias("found"),
     )
-    named = found.withColumn("names", F.transform("found", lambda x: pseudonym(key, x)))
-    gaps = F.split("text", CANDIDATE)
-    parts = F.zip_with(
-        gaps, F.zip_with("found", "names", lambda old, new: F.coalesce(new, old)),
-        lambda gap, name: F.concat(gap, F.coalesce(name, F.lit(""))),
-    )
-    count = F.size(F.filter("names", lambda x: x.isNotNull()))
-    return named.select(
+    def name(x: Column) -> Column:
+        return _apply(pseudonym(key, x), lambda new: F.when(
+            new.isNotNull(), F.struct(new.alias("new"), F.lit("").alias("rest"))
+        ).otherwise(F.coalesce(
+            F.when(x.rlike("^[A-Z]{2}\\d"), _iban_and_rest(key, x)),
+            F.struct(F.lit(None).cast("string").alias("new"), x.alias("rest")),
+        )))
+
+    named = found.withColumn("names", F.transform("found", name))
+    # gaps, failed candidates and what follows an account number may hold card numbers
+    plain = lambda x: F.struct(F.coalesce(x, F.lit("")).alias("old"), F.lit(None).cast("string").alias("new"))
+    pieces = F.flatten(F.zip_with(
+        F.split("text", CANDIDATE), "names",
+        lambda gap, x: F.array(plain(gap), F.struct(F.lit("").alias("old"), x["new"].alias("new")), plain(x["rest"])),
+    ))
+    done = F.transform(pieces, lambda x: F.when(
+        x["new"].isNotNull(), F.struct(x["new"].alias("text"), F.lit(1).cast("bigint").alias("n"))
+    ).otherwise(_cards(key, x["old"])))
+    work = F.exists("names", lambda x: x["new"].isNotNull()) | F.col("text").rlike(RUN)
+    made = named.withColumn("done", F.when(work, done))
+    count = F.aggregate("done", F.lit(0).cast("bigint"), lambda n, x: n + x["n"])
+    return made.select(
         "doc_id",
-        F.when(F.exists("names", lambda x: x.isNotNull()), F.array_join(parts, "")).otherwise(F.col("text")).alias("text"),
-        F.when(F.col("text").isNull(), 0).otherwise(count).cast("bigint").alias("n_replaced"),
+        F.coalesce(F.array_join(F.col("done.text"), ""), F.col("text")).alias("text"),
+        F.coalesce(count, F.lit(0).cast("bigint")).alias("n_replaced"),
     )

@@ -180,3 +180,41 @@ def test_classes_of_content_stay(name):
     body = "<p>" + "many words in here, " * 30 + "</p>"
     page = html_text.Page(f"<body><div class='{name}'><h1>Title</h1>{body}</div></body>")
     assert page.text(page.best().path).startswith("Title\n\nmany words")
+
+
+def test_numbers_beside_numbers(spark):
+    card, iban = "4111 1111 1111 1111", "BE68 5390 0754 7034"
+    texts = [
+        f"card {card} 123", "order 12 4111111111111111 ok", "no.4111111111111111", "ID-4111111111111111", f"{iban} 12",
+        f"12 34 56 78 {card}", f"{card} {card}", f"{card}-4111111111111111 5", f"{iban} CALL ME", f"1 {iban} {card}  7",
+        "1 " * 5000 + card + " 1" * 5000, f"736-555-2678 {card} 2024-01-05",
+    ]
+    got = changed(spark, texts)
+    assert [got[i][1] for i in range(12)] == [1, 1, 1, 1, 1, 1, 2, 2, 1, 2, 1, 3]
+    new = re.search(r"card (.{19}) 123$", got[0][0])[1]
+    assert new != card and luhn(new.replace(" ", ""))
+    bare = new.replace(" ", "")
+    assert [got[i][0] for i in (1, 2, 3, 5, 6, 7)] == [
+        f"order 12 {bare} ok", f"no.{bare}", f"ID-{bare}", f"12 34 56 78 {new}", f"{new} {new}", f"{new}-{bare} 5"]
+    account = got[4][0][:19]
+    assert account != iban and mod97(account.replace(" ", "")) == 1 and got[4][0] == f"{account} 12"
+    assert got[8][0] == f"{account} CALL ME" and got[9][0] == f"1 {account} {new}  7"
+    assert got[10][0] == "1 " * 5000 + new + " 1" * 5000
+
+
+def test_cards_among_random_neighbours(spark):
+    """Whatever groups stand beside it, no valid card number of an issuer's form is left; the rest stays."""
+    import random
+
+    draw = random.Random(3)
+    group = lambda: "".join(draw.choices("0123456789", k=draw.randint(1, 5)))
+    texts = []
+    for _ in range(60):
+        own = "4" + "".join(draw.choices("0123456789", k=14))
+        own += next(c for c in "0123456789" if luhn(own + c))
+        shown = draw.choice([own, " ".join(own[i : i + 4] for i in (0, 4, 8, 12))])
+        texts.append((own, " ".join([*(group() for _ in range(draw.randint(0, 6))), shown, *(group() for _ in range(draw.randint(0, 6)))])))
+    got = changed(spark, [t for _, t in texts])
+    for i, (own, text) in enumerate(texts):
+        out = got[i][0]
+        assert own not in re.sub(r"\D", "", out) and re.sub(r"\d", "0", out) == re.sub(r"\d", "0", text) and got[i][1] >= 1
