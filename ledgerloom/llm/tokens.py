@@ -2,10 +2,12 @@
 
 A text is cut before single spaces and around single line ends that stand between
 two other characters. Neither tokenizer forms a token across such a place, so the
-ids of the pieces, joined, are the ids of the text (the tests compare both). Pieces are encoded once per worker and
-remembered up to a fixed number; unknown pieces are encoded many at a time. The signs
+ids of the pieces, joined, are the ids of the text (the tests compare both). Pieces
+are encoded once per worker and remembered up to a fixed number. The signs
 that close a word are tokens of their own and are remembered
-apart from it; A-Z are folded first if the tokenizer folds case itself. A text
+apart from it; A-Z are folded first if the tokenizer folds case itself. A space and
+letters that the tokenizer's normalizer and pre-tokenizer leave as one unit go
+straight to its model, all other pieces through the whole tokenizer. A text
 that holds the name of an added token is encoded by the library as a whole.
 """
 
@@ -13,21 +15,93 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterable
+import struct
+from unicodedata import is_normalized
 
-import numpy as np
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
-#: Pieces that a worker remembers; beyond that it starts anew.
+#: Pieces that a worker remembers. Half of them are the last learned; the other half, those before, are
+#: forgotten at once unless they were met again.
 REMEMBERED = 700_000
-#: Characters of unknown pieces that are encoded in one call.
-JOINED_CHARS = 1 << 15
 
 _CUTS = re.compile(r"(?<=\S)(?=[ \n]\S)|(?<=\S\n)(?=\S)")
 _DOUBLE = re.compile(r"[ \n\0][\s\0]|\s[ \n\0]")
-_PLAIN = re.compile(r" [^\W\d_]+").fullmatch
+#: White space other than space and line end, by the rule of Python.
+_OTHER_SPACES = [x for x in map(chr, range(0x3001)) if x.isspace() and x not in " \n"]
+#: ASCII signs other than the apostrophe.
+_SIGNS = frozenset(x for x in map(chr, range(33, 127)) if not x.isalnum() and x != "'")
 #: A word that ends in a Latin letter, and ASCII signs other than apostrophes after it.
-_CLOSED = re.compile(r"(.*(?!İ)[A-Za-zÀ-ɏ])([!-&(-/:-@\[-`{-~]+)", re.DOTALL).fullmatch
+_CLOSED = re.compile(r"(.*(?!İ)[A-Za-zÀ-ÖØ-öø-ɏ])([!-&(-/:-@\[-`{-~]+)", re.DOTALL).fullmatch
+#: Letters below this sign (Latin, Greek, Cyrillic) are letters for every version of Unicode in use.
+_OLD_LETTERS = "\u0500"
+_PROBE = " abcdefghijklmnopqrstuvwxyzßéàžλяї"
+
+
+def _byte_signs() -> dict[int, str]:
+    """The sign that stands for each byte in byte-level vocabularies, as the library gives it."""
+    cut = ByteLevel(add_prefix_space=False, use_regex=False)
+    table = {}
+    for number in range(0x800):
+        if not 0xD800 <= number < 0xE000:
+            for byte, sign in zip(chr(number).encode(), cut.pre_tokenize_str(chr(number))[0][0], strict=True):
+                table[byte] = sign
+    return table
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+class _Known(dict):
+    """Ids of remembered pieces; a missing one is encoded."""
+
+    def __init__(self, tokenizer: Tokenizer, folds: bool, before: dict[str, bytes]):
+        self.tokenizer, self.folds, self.before = tokenizer, folds, before
+        self.model = tokenizer.model
+        self.signs = _byte_signs()
+        self.unit = self._unit_rule()
+
+    def _unit_rule(self) -> int | None:
+        """Where the unit that the model sees of a space and letters begins, None if they are not one unit."""
+        text = _PROBE
+        if self.tokenizer.normalizer is not None:
+            text = self.tokenizer.normalizer.normalize_str(text)
+        if text != _PROBE or self.tokenizer.pre_tokenizer is None:
+            return None
+        units = [x for x, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(text)]
+        for begin in (0, 1):
+            if units == [self._bytes(_PROBE[begin:])]:
+                return begin
+        return None
+
+    def _bytes(self, text: str) -> str:
+        return text.encode().decode("latin-1").translate(self.signs)
+
+    def _model_unit(self, piece: str) -> str | None:
+        if self.unit is None or piece[:1] != " " or not piece[1:].isalpha():
+            return None
+        if piece.isascii():
+            return piece[1:] if self.unit else self.signs[32] + piece[1:]
+        if max(piece) < _OLD_LETTERS and is_normalized("NFKC", piece) and not (self.folds and piece != piece.lower()):
+            return self._bytes(piece[self.unit :])
+        return None
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.before.get(piece)
+        if ids is None:
+            closed = _CLOSED(piece) if piece[-1:] in _SIGNS else None
+            if closed:
+                ids = self[closed[1]] + self[closed[2]]
+            else:
+                unit = self._model_unit(piece)
+                if unit is None:
+                    numbers = self.tokenizer.encode(piece, add_special_tokens=False).ids
+                else:
+                    numbers = [x.id for x in self.model.tokenize(unit)]
+                ids = _packed(numbers)
+        self[piece] = ids
+        return ids
 
 
 class Encoder:
@@ -35,73 +109,31 @@ class Encoder:
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
         self.folds = '"Lowercase"' in json.dumps(json.loads(self.tokenizer.to_str())["normalizer"])
         self.names = [x.content.lower() for x in self.tokenizer.get_added_tokens_decoder().values()]
-
-    def _alone(self, piece: str) -> bytes:
-        return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def _learn(self, pieces: Iterable[str]) -> None:
-        """Pieces of letters are encoded joined and parted by their offsets, all others alone."""
-        known, plain, closed, stems = self.known, [], [], set()
-        for piece in pieces:
-            found = _CLOSED(piece)
-            if found:
-                stem, signs = found.groups()
-                closed.append((piece, stem, signs))
-                stems.add(stem)
-                stems.add(signs)
-            else:
-                stems.add(piece)
-        for piece in stems.difference(known):
-            if _PLAIN(piece):
-                plain.append(piece)
-            else:
-                known[piece] = self._alone(piece)
-        step = max(1, JOINED_CHARS // 8)
-        for start in range(0, len(plain), step):
-            part = plain[start : start + step]
-            done = self.tokenizer.encode("".join(part), add_special_tokens=False)
-            ids = np.array(done.ids, "<u4").tobytes()
-            ends = np.cumsum([len(x) for x in part])
-            at = np.searchsorted([b for _, b in done.offsets], ends, side="right") * 4
-            begin = 0
-            for piece, end in zip(part, at.tolist(), strict=True):
-                known[piece] = ids[begin:end]
-                begin = end
-        for piece, stem, signs in closed:
-            known[piece] = known[stem] + known[signs]
+        self.known = _Known(self.tokenizer, self.folds, {})
+
+    def _pieces(self, text: str) -> list[str]:
+        doubled = (
+            "\0" in text or "  " in text or " \n" in text or "\n " in text or "\n\n" in text
+            or any(x in text for x in _OTHER_SPACES) and _DOUBLE.search(text)
+        )
+        if doubled:
+            return _CUTS.split(text)
+        return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
+
+    def _ids(self, text: str) -> bytes:
+        if "<" in text and any(name in text.lower() for name in self.names):
+            return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        if len(self.known) > REMEMBERED // 2:
+            self.known.before = {}
+            self.known = _Known(self.tokenizer, self.folds, self.known)
+        if self.folds:
+            text = text.encode().lower().decode()
+        return b"".join(map(self.known.__getitem__, self._pieces(text)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        out: list[bytes] = []
-        if len(self.known) > REMEMBERED:
-            self.known = {}
-        get = self.known.get
-        waiting: list[tuple[int, list[str]]] = []
-        unknown: set[str] = set()
-        for text in texts:
-            if "<" in text and any(name in text.lower() for name in self.names):
-                out.append(self._alone(text))
-                continue
-            if self.folds:
-                text = text.encode().lower().decode()
-            if "\0" in text or _DOUBLE.search(text):
-                pieces = _CUTS.split(text)
-            else:
-                pieces = text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
-            ids = list(map(get, pieces))
-            if None in ids:
-                unknown.update(p for p, x in zip(pieces, ids, strict=True) if x is None)
-                waiting.append((len(out), pieces))
-                out.append(b"")
-            else:
-                out.append(b"".join(ids))
-        if unknown:
-            self._learn(unknown)
-            for at, pieces in waiting:
-                out[at] = b"".join(map(self.known.__getitem__, pieces))
-        return out
+        return [self._ids(text) for text in texts]
 
 
 _ENCODERS: dict[str, Encoder] = {}

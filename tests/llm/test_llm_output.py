@@ -23,6 +23,19 @@ def test_remembered_words_change_no_id(path):
     assert encoder.encode(texts) == want and encoder.encode(texts[::-1]) == want[::-1]
 
 
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_words_of_any_sign_have_the_librarys_ids(path, monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED", 1000)
+    signs = [chr(x) for x in (*range(33, 0x600), *range(0x1E00, 0x2000), *range(0x2126, 0x2130), 0x3042, 0xAC00, 0xFB01)]
+    texts = [form.format(x) for x in signs for form in ("a {0}x{0} b", "a x{0}, b {0}", "{0}\nx{0}")]
+    plain = Tokenizer.from_file(path)
+    want = [np.array(x.ids, "<u4").tobytes() for x in plain.encode_batch(texts, add_special_tokens=False)]
+    encoder = tokens.Encoder(path)
+    assert encoder.known.unit is not None
+    assert encoder.encode(texts) == want and encoder.encode(texts[::-1]) == want[::-1]
+    assert len(encoder.known) + len(encoder.known.before) <= 1100
+
+
 @pytest.mark.parametrize("path", [BYTES, WORDS])
 def test_names_of_added_tokens_are_those_tokens(path):
     plain = Tokenizer.from_file(path)
