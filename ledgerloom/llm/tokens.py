@@ -23,7 +23,7 @@ from tokenizers.pre_tokenizers import ByteLevel
 
 #: Pieces that a worker remembers. Half of them are the last learned; the other half, those before, are
 #: forgotten at once unless they were met again.
-REMEMBERED = 700_000
+REMEMBERED = 400_000
 
 _CUTS = re.compile(r"(?<=\S)(?=[ \n]\S)|(?<=\S\n)(?=\S)")
 _DOUBLE = re.compile(r"[ \n\0][\s\0]|\s[ \n\0]")
