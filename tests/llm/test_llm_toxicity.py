@@ -1,6 +1,7 @@
 import os
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
@@ -130,3 +131,65 @@ def test_held_out_accuracy(spark):
     judged = queries.QUERIES["op11_convolutional_toxicity"](spark, folder).filter("held_out").join(marks, "doc_id")
     counts = {(r.toxic, r.predicted): r["count"] for r in judged.groupBy("toxic", "predicted").count().collect()}
     assert counts[1, 1] >= 0.8 * (counts[1, 1] + counts[1, 0]) and counts[0, 1] <= 0.02 * counts[0, 0]
+
+
+def test_long_labelled_texts_are_learned_from(spark):
+    """Toxic texts of more than 16 KB alone: no labelled row is left out for its length."""
+    rows = [(i, ("filler and more of it " * 900 + text) if toxic else text, lang, toxic) for i, text, lang, toxic in made(400, 6)]
+    docs = spark.createDataFrame([r[:3] for r in rows], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(r[0], r[3]) for r in rows], "doc_id long, toxic int")
+    none = language.learn(docs.limit(0))
+    net = toxicity.learn(docs, labels, none)
+    assert net is not None
+    got = {r.doc_id: r for r in toxicity.score(docs, net, none).collect()}
+    held = [r for r in rows if got[r[0]].held_out]
+    assert sum(got[r[0]].predicted == r[3] for r in held) >= 0.95 * len(held)
+
+
+def test_all_labelled_rows_train_and_calibrate(spark, monkeypatch):
+    """Every text is counted, trained on in some task and counted for the thresholds; copies once."""
+    monkeypatch.setattr(toxicity, "TASK_ROWS", 300)
+    rows = made(9000, 7)
+    docs = spark.createDataFrame([r[:3] for r in rows + rows[:50]], "doc_id long, text string, lang string").repartition(5)
+    labels = spark.createDataFrame([(r[0], r[3]) for r in rows], "doc_id long, toxic int")
+    mine, sizes = toxicity._labelled(docs, labels, "doc_id", "text", "toxic")
+    want = {r[1]: r[3] for r in rows if zlib.crc32(str(r[0]).encode()) % 4 != 2}
+    assert sum(sizes.values()) > 6500 and {r.text: r.toxic for r in mine.collect()} == want and mine.count() == len(want)
+    seen = {}
+    fit, calibrate = toxicity.fit, toxicity.calibrate
+    monkeypatch.setattr(toxicity, "fit", lambda net, training, share: seen.update(fit=training.count(), share=sum(share)) or fit(net, training, share))
+    monkeypatch.setattr(toxicity, "calibrate", lambda net, own, *rest: seen.update(calibrate=own.count()) or calibrate(net, own, *rest))
+    none = language.learn(docs.limit(0))
+    net = toxicity.learn(docs, labels, none)
+    assert seen["fit"] == seen["share"] and seen["fit"] + seen["calibrate"] == len(want)
+    got = {r.doc_id: r for r in toxicity.score(docs, net, none).collect()}
+    held = [r for r in rows if got[r[0]].held_out]
+    assert sum(got[r[0]].predicted == r[3] for r in held) >= 0.98 * len(held)
+
+
+def test_gist_of_a_text_in_parts(monkeypatch):
+    net = net_of(made(200, 2))
+    texts = [r[1] for r in made(30, 3)]
+    whole = [net.peaks(net.gist(x))[0] for x in texts]
+    monkeypatch.setattr(toxicity, "PART", 90)
+    for text, best in zip(texts, whole, strict=True):
+        assert (net.peaks(net.gist(text))[0] >= best - 1e-4).all()
+
+
+def test_moves_of_tasks_are_averaged(spark, tmp_path):
+    """Two tasks with equal texts move the weights as one of them does."""
+    rows = made(200, 8)
+    spark.createDataFrame([(r[1], r[3]) for r in rows], "text string, toxic int").coalesce(1).write.parquet(f"file://{tmp_path}/t")
+    one = spark.read.parquet(f"file://{tmp_path}/t")
+    net = net_of(rows)
+    balance = [1.0, 1.0]
+    run = toxicity._descended(net, toxicity.Past.of(net), balance, 1)
+    schema = "block int, task int, rows binary, times binary, moves binary"
+    moved = lambda x: {r.rows: np.frombuffer(r.moves, np.float32) for r in x.mapInArrow(run, schema).repartition("block")
+                       .sortWithinPartitions("block", "task").mapInArrow(toxicity._means, "rows binary, moves binary").collect()}
+    single, double = moved(one), moved(one.union(one))
+    assert one.union(one).rdd.getNumPartitions() == 2
+    assert single.keys() == double.keys() and all(np.allclose(single[x], double[x], atol=1e-6) for x in single)
+    state = toxicity._state(net, past := toxicity.Past.of(net))
+    toxicity._restore(net, past, state + 1)
+    assert np.array_equal(toxicity._state(net, past)[: len(state) - 1], (state + 1)[:-1])
