@@ -35,7 +35,7 @@ from ledgerloom.streaming import (
     upsert,
     upsert_stream,
 )
-from ledgerloom.workload import core_queries, mart_queries
+from ledgerloom.workload import bindings, core_queries, mart_queries
 
 SMALL = Gate(min_rows=1)
 ORDER = "{id},{c},{p},2024-01-0{d},1,10.00,1.00,{amount},{status},card,paid,X,Y,1,web"
@@ -590,3 +590,17 @@ def test_compaction_rewrites_touched_buckets_only(spark, tmp_path, rows):
     assert read() == sorted(want, key=repr)
     land(3, [("U", 7, at(3), "c")])
     assert compact_state(spark, state, ["k"], "t") == 4 and (7, "c") in read()
+
+
+def test_wide_orders_join_their_lines_once(spark, sf_dir, rows):
+    """Both sources in one frame give what their union gives, and the line items are read once."""
+    lines = bindings.order_lines(spark, sf_dir)
+    plain, feed = bindings.two_sources(lines.where("order_id % 2 = 0"), "order_id")
+    both = bindings.both_sources(lines.where("order_id % 2 = 0"), "order_id")
+    want = plain.selectExpr("*", "false as from_feed").unionByName(feed.selectExpr("*", "true as from_feed"), allowMissingColumns=True)
+    assert rows(both.select(*sorted(both.columns))) == rows(want.select(*sorted(want.columns)))
+    wide = mart_queries.silver_enriched_orders(spark, sf_dir)
+    plan = wide._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("l_extendedprice#") and len([x for x in plan.splitlines() if "Relation" in x and "l_orderkey" in x]) == 1
+    of_two = enrich_left(mart_queries.sources(spark, sf_dir), as_of=mart_queries.AS_OF)
+    assert rows(wide) == rows(of_two.select(*mart_queries.ENRICHED_COLUMNS))
