@@ -41,12 +41,12 @@ def text_rows(frame: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
 
 
-def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of bounded size; a single longer text is a batch of its own."""
     for batch in batches:
         rows = batch.num_rows
         if not rows:
             continue
-        step = max(1, min(rows, rows * SLICE_BYTES // max(1, batch.nbytes)))
+        step = max(1, min(rows, rows * most // max(1, batch.nbytes)))
         for start in range(0, rows, step):
             yield batch.slice(start, step)

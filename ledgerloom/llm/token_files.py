@@ -25,6 +25,9 @@ from ledgerloom.llm.common import slices, stored, text_rows
 from ledgerloom.llm.tokens import encoder
 
 END_ID = 0
+#: Text bytes that are encoded at once, and pieces that a worker remembers (some 150 bytes each).
+ENCODED_BYTES = 4 << 20
+REMEMBERED = 1_200_000
 SCHEMA = "part int, doc_id bigint, ids array<int>"
 OPTIONS = {
     "orc.bloom.filter.columns": "doc_id",
@@ -40,8 +43,8 @@ def encoded(docs: DataFrame, tokenizer: str) -> DataFrame:
     end = np.array([END_ID], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer).encode
-        for batch in slices(batches):
+        encode = encoder(tokenizer, REMEMBERED).encode
+        for batch in slices(batches, ENCODED_BYTES):
             ids = [x + end for x in encode(batch.column(1).to_pylist())]
             ends = np.concatenate(([0], np.cumsum([len(x) // 4 for x in ids]))).astype(np.int32)
             flat = pa.array(np.frombuffer(b"".join(ids), "<i4"))

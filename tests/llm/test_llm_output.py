@@ -36,6 +36,21 @@ def test_words_of_any_sign_have_the_librarys_ids(path, monkeypatch):
     assert len(encoder.known) + len(encoder.known.before) <= 1100
 
 
+@pytest.mark.parametrize("path", [BYTES, WORDS])
+def test_words_are_remembered_without_the_signs_that_close_them(path):
+    texts = ["Word word, word. (word) word!\nWord word?!", "", "x\0y", "<|endoftext|> word", "été. ünter, word..."]
+    plain, encoder = Tokenizer.from_file(path), tokens.Encoder(path, 100)
+    want = [np.array(plain.encode(x, add_special_tokens=False).ids, "<u4").tobytes() for x in texts]
+    assert encoder.encode(texts) == want and encoder.encode(texts[2:4]) == want[2:4] and encoder.encode([]) == []
+    held = [x.decode() for x in encoder.known]
+    assert " word" in held and "été" in held
+    assert not [x for x in held if x.strip("!?.,") != x and x.strip("!?.,").isalpha()]
+    assert encoder.known._model_unit("word") == "word"
+    many = [f"word{x} and{x}." for x in map(chr, range(0x250, 0x4F0))]
+    assert encoder.encode(many) == [np.array(plain.encode(x, add_special_tokens=False).ids, "<u4").tobytes() for x in many]
+    assert len(encoder.known) + len(encoder.known.before) <= 104
+
+
 @pytest.mark.parametrize("path", [BYTES, WORDS])
 def test_names_of_added_tokens_are_those_tokens(path):
     plain = Tokenizer.from_file(path)
