@@ -38,11 +38,7 @@ BUCKETS = 256
 _PIECE = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
-def pieces(
-    docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids: bool = False,
-    id_col: str = "doc_id", text_col: str = "text",
-) -> DataFrame:
-    """Each document's pieces: ``doc_id, piece, start, length, ids_crc32`` and perhaps ``ids``."""
+def _cut(tokenizer: str, capacity: int, with_ids: bool) -> Callable:
     end = np.array([END_ID], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -65,10 +61,20 @@ def pieces(
                 ends = np.concatenate(([0], np.cumsum(length))).astype(np.int32)
                 columns.append(pa.ListArray.from_arrays(pa.array(ends), flat))
                 names.append("ids")
+            # Arrow's allocator would keep, in each worker, what the encoder used for a slice and needs no more.
+            pa.default_memory_pool().release_unused()
             yield pa.record_batch(columns, names)
 
+    return run
+
+
+def pieces(
+    docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids: bool = False,
+    id_col: str = "doc_id", text_col: str = "text",
+) -> DataFrame:
+    """Each document's pieces: ``doc_id, piece, start, length, ids_crc32`` and perhaps ``ids``."""
     schema = _PIECE + (", ids array<int>" if with_ids else "")
-    return text_rows(docs, id_col, text_col).mapInArrow(run, schema)
+    return text_rows(docs, id_col, text_col).mapInArrow(_cut(tokenizer, capacity, with_ids), schema)
 
 
 class Complements:

@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -117,6 +118,21 @@ def test_packing_of_odd_documents(spark, odd_docs):
     assert packing.pack(odd_docs.limit(0), WORDS).count() == 0
 
 
+def anonymous_mb():
+    with open("/proc/self/smaps_rollup") as f:
+        return next(int(x.split()[1]) for x in f if x.startswith("Anonymous:")) / 1024
+
+
+def test_pieces_leave_no_unused_arrow_memory_to_the_worker():
+    draw = random.Random(3)
+    texts = [" ".join(f"w{draw.randrange(200_000)}" for _ in range(500)) for _ in range(1500)]
+    batch = pa.record_batch([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], ["id", "text"])
+    assert len(list(packing._cut(WORDS, 2048, False)(iter([batch])))) > 1
+    held = anonymous_mb()
+    pa.default_memory_pool().release_unused()
+    assert held - anonymous_mb() < 8
+
+
 def test_sequences_hold_the_ids(spark, odd_docs):
     docs = odd_docs.filter("doc_id < 9")
     packed = packing.pack(docs, WORDS)
