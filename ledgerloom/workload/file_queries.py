@@ -14,13 +14,14 @@ from pyspark.sql import types as T
 from ledgerloom import catalog
 from ledgerloom.operators.dedup import dedup_by_key, union_sources
 from ledgerloom.operators.incremental import batch_label, next_mark, read_mark, since, store_mark
+from ledgerloom.operators.passes import passes_for, slices
 from ledgerloom.operators.quality import split_corrupt
 from ledgerloom.plans.bronze import FILES_PER_READ, bronze_table, run_bronze
 from ledgerloom.plans.medallion import run_medallion
 from ledgerloom.plans.silver import run_silver, silver_table
 from ledgerloom.sources.files import CORRUPT_FIELDS, scan
 from ledgerloom.sources.listing import list_files, manifest_entries, new_files
-from ledgerloom.sources.scratch import scratch_path, shuffles_removed, stored
+from ledgerloom.sources.scratch import scratch_path, shuffles_removed, store
 from ledgerloom.sources.sinks import MAX_RECORDS_PER_FILE, read_quarantine, write_quarantine, write_table
 from ledgerloom.specs import CORRUPT_COLUMN, LOADED_AT, SOURCE_FILE, Gate, TableSpec
 from ledgerloom.streaming import compact_state, ingest_stream, read_state, upsert_stream
@@ -583,7 +584,10 @@ def medallion_two_runs(spark, sf):
 def silver_incremental_retraction(spark, sf):
     """Two loads into core silver: of the second, every 7th order is loaded anew and perhaps
     cancelled by then, every 11th customer is no longer active, if not so before, and every 13th product comes back."""
-    orders = stored(dedup_by_key(b.order_lines(spark, sf, shipping=True).drop("updated_at"), ["order_id"]), "orders")
+    lines = b.order_lines(spark, sf, shipping=True).drop("updated_at")
+    with shuffles_removed(spark):
+        parts = slices(lines, "order_id", passes_for(b.table(spark, sf, "lineitem").count(), 3))
+        orders = store([dedup_by_key(part, ["order_id"]) for part in parts], scratch_path(spark, "orders"))
     customers, products = b.customers(spark, sf), b.products(spark, sf)
     first, second = (F.lit(t).cast("timestamp") for t in ("2024-01-01", "2024-01-02"))
     again = F.col("order_id") % 7 == 0
